@@ -15,6 +15,10 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 #: The forest: documents in its sample, trees, documents in a tree.
 SAMPLE, TREES, TREE_SAMPLE = 8192, 200, 256
 
+#: Shares of repeated lines and words that ordinary texts with a boilerplate line reach; the forest sees what is above.
+TOLERATED_DUP_LINES, TOLERATED_REPEATS = 0.3, 0.25
+PRIOR_WORDS = 100
+
 
 def statistics(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     """The counts of COUNTS for each text."""
@@ -66,16 +70,28 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def features(s: dict[str, np.ndarray]) -> np.ndarray:
-    """What the forest sees: rates, so that a text is not odd for its length alone (rows x features)."""
+def usual(s: dict[str, np.ndarray]) -> tuple[float, float, float]:
+    """The fitted sample's characters a word, share of ASCII letters, and share of capitals among those."""
+    words, chars, letters = (max(1, int(s[c].sum())) for c in ("n_words", "word_chars", "n_letters"))
+    return chars / words, letters / chars, int(s["n_upper"].sum()) / letters
+
+
+def features(s: dict[str, np.ndarray], prior: tuple[float, float, float]) -> np.ndarray:
+    """What the forest sees (rows x features): rates, so that a text is not odd for its length alone.
+
+    Rates that vary by chance in short texts are drawn towards the sample's, as if PRIOR_WORDS usual words were added.
+    """
     words = np.maximum(s["n_words"], 1).astype(float)
+    length, letters, upper = prior
+    chars = s["word_chars"] + PRIOR_WORDS * length
     return np.column_stack(
         [
-            s["word_chars"] / words,
-            s["n_symbols"] / words,
-            s["n_dup_lines"] / np.maximum(s["n_lines"], 1),
-            s["n_repeat_words"] / words,
-            s["n_upper"] / np.maximum(s["n_letters"], 1),
+            chars / (words + PRIOR_WORDS),
+            np.sqrt(s["n_symbols"] / words),
+            (s["n_upper"] + PRIOR_WORDS * length * letters * upper) / (s["n_letters"] + PRIOR_WORDS * length * letters),
+            (s["n_letters"] + PRIOR_WORDS * length * letters) / chars,
+            np.maximum(s["n_dup_lines"] / np.maximum(s["n_lines"], 1) - TOLERATED_DUP_LINES, 0),
+            np.maximum(s["n_repeat_words"] / words - TOLERATED_REPEATS, 0),
         ]
     ).astype(float)
 
@@ -193,15 +209,17 @@ def quality_rules(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, tree
     chance = min(1.0, sample / max(1, there))
     chosen = passed.filter(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) < int(chance * (1 << 30)))
     rows = chosen.select("doc_id", *COUNTS).toPandas().sort_values(["doc_id", *COUNTS])
-    forest = None
+    forest, prior = None, (1.0, 1.0, 0.0)
     if len(rows):
-        forest = grow(features({c: rows[c].to_numpy() for c in COUNTS}), trees, tree_sample, seed)
+        fitted = {c: rows[c].to_numpy() for c in COUNTS}
+        prior = usual(fitted)
+        forest = grow(features(fitted, prior), trees, tree_sample, seed)
     size = min(tree_sample, max(1, len(rows)))
 
     def score(batches):
         for batch in batches:
             s = {c: batch.column(batch.schema.get_field_index(c)).to_numpy() for c in COUNTS}
-            value = anomaly(features(s), forest, size) if forest and batch.num_rows else np.zeros(batch.num_rows)
+            value = anomaly(features(s, prior), forest, size) if forest and batch.num_rows else np.zeros(batch.num_rows)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(value)], names=[*batch.schema.names, "anomaly"])
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in counts.schema) + ", anomaly double"
