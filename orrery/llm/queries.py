@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from orrery.llm.chat import format_chat, read_back
 from orrery.llm.common import table
+from orrery.llm.langid import identify
 from orrery.llm.mixing import mix_counts
 from orrery.llm.quality import quality_rules
 from orrery.llm.ring_sharding import ring_shards
+from orrery.llm.toxicity import toxicity
 
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
@@ -30,6 +32,14 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_counts(table(spark, sf_dir, "documents")).drop("first_shard")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op10_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = ring_shards(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return shards.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
@@ -40,6 +50,8 @@ def queries() -> dict:
         "op2_quality_rules": op2_quality_rules,
         "op3_chat_format": op3_chat_format,
         "op4_source_mix": op4_source_mix,
+        "op5_toxicity": op5_toxicity,
+        "op8_language_id": op8_language_id,
         "op10_ring_sharding": op10_ring_sharding,
     }
 
