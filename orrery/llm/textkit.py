@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are worked on at once, where a text does not hold more itself.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -40,7 +40,7 @@ def powers(bits: int, inverse: bool) -> np.ndarray:
 
 
 def power(n: int, inverse: bool = False) -> np.ndarray:
-    return powers(max(22, int(n).bit_length()), inverse)[:n]
+    return powers(max(21, int(n).bit_length()), inverse)[:n]
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -11,9 +11,9 @@ from orrery.llm.common import fold
 from orrery.llm.textkit import mix, pieces, prefix_hash, power
 
 #: Lengths of the n-grams, in bytes of the lower-case text; hash buckets that they are counted in.
-LENGTHS, BITS = (4, 5, 6, 7), 20
+LENGTHS, BITS = (4, 5, 6, 7, 8), 20
 #: Labelled documents that are learned from; n-gram buckets that get a weight.
-TRAIN_DOCS, FEATURES = 8000, 8192
+TRAIN_DOCS, FEATURES = 6000, 8192
 #: Slices of the count vectors, and tasks that count.
 SLICES, COUNTERS = 16, 8
 MODEL_ROUNDS, RIDGE = 300, 1e-4
@@ -47,7 +47,9 @@ def present(column: pa.Array, wanted: np.ndarray | None = None):
                 hit = np.flatnonzero(wanted[bucket])
                 bucket, text = bucket[hit], text[hit]
             keys.append(text.astype(np.int64) << BITS | bucket)
-        keys = np.unique(np.concatenate(keys)) if keys else np.empty(0, np.int64)
+        keys = np.concatenate(keys) if keys else np.empty(0, np.int64)
+        keys.sort()
+        keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
         yield a, b - a, (keys & ((1 << BITS) - 1)).astype(np.int64), keys >> BITS
 
 
@@ -85,7 +87,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int, held_out_fold: int, tr
     """(weight of each bucket, bias). Learned from about train_docs labelled documents outside the held-out fold, chosen by a hash of the id.
 
     Counts of documents with an n-gram are added up in COUNTERS tasks; the n_features buckets that tell the labels apart best
-    (document count times the squared log-count ratio) are the features, each scaled by its ratio.
+    (by chi squared of the documents of label 1) are the features, each scaled by its ratio.
     """
     known = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     known = known.filter(fold("doc_id", folds) != held_out_fold)
@@ -124,7 +126,8 @@ def train(docs: DataFrame, labels: DataFrame, folds: int, held_out_fold: int, tr
     seen = np.concatenate([np.frombuffer(bytes(s[1]), np.int32).reshape(2, -1) for s in slices], axis=1)
     rate = (seen + 1.0) / (size[:, None] + 2.0)
     ratio = np.log(rate[1] / rate[0])
-    worth = seen.sum(0) * ratio**2
+    usual = seen.sum(0) * (size[1] / size.sum())
+    worth = (seen[1] - usual) ** 2 / np.maximum(usual, 0.5)
     wanted = np.zeros(1 << BITS, bool)
     wanted[np.argsort(-worth, kind="stable")[:n_features]] = True
     wanted &= seen.sum(0) >= 3
