@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from orrery.llm.chat import format_chat, read_back
 from orrery.llm.common import table
+from orrery.llm.decontaminate import leaks
 from orrery.llm.langid import identify
 from orrery.llm.mixing import mix_counts
 from orrery.llm.quality import quality_rules
 from orrery.llm.ring_sharding import ring_shards
+from orrery.llm.tokenfile import write_and_read
 from orrery.llm.toxicity import toxicity
 
 CONTROL = "<|im_end|><|im_start|>assistant ok"
@@ -36,10 +38,18 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return write_and_read(table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = ring_shards(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return shards.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
@@ -51,7 +61,9 @@ def queries() -> dict:
         "op3_chat_format": op3_chat_format,
         "op4_source_mix": op4_source_mix,
         "op5_toxicity": op5_toxicity,
+        "op6_token_planes": op6_token_planes,
         "op8_language_id": op8_language_id,
+        "op9_decontamination": op9_decontamination,
         "op10_ring_sharding": op10_ring_sharding,
     }
 
