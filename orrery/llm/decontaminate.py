@@ -4,20 +4,20 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.textkit import pieces, prefix_hash, shingles, span_hash, word_spans
+from orrery.llm.textkit import pieces, prefix_hash, shingles, span_hash, utf8, word_spans
 
 #: Words in a shingle, least similarity, Hamming radius and blocks of the 64-bit fingerprints.
 SHINGLE, SIMILARITY, RADIUS, BLOCKS = 5, 0.8, 23, 8
 #: Words by which a window may be moved off its alignment, and items that are sent to the executors at once.
 SHIFTS, ITEMS_AT_ONCE = (-2, -1, 0, 1, 2), 20_000
 
-#: Letters in lower case and digits stay; every other ASCII character separates words.
+#: Letters and digits stay; every other ASCII character separates words. (Texts come in lower case.)
 _PLAIN = np.full(256, 32, np.uint8)
 _PLAIN[48:58], _PLAIN[97:123], _PLAIN[128:] = np.arange(48, 58), np.arange(97, 123), np.arange(128, 256)
-_PLAIN[65:91] = np.arange(97, 123)
 
 HITS = "array<struct<item_id: bigint, window_start: bigint, window_words: bigint, similarity: double>>"
 
@@ -56,9 +56,7 @@ class Items:
 
     def __init__(self, rows: list[tuple[int, str]], k: int, threshold: float, radius: int, blocks: int):
         self.k, self.threshold, self.radius, self.blocks = k, threshold, radius, blocks
-        raw = [t.encode() for _, t in rows]
-        data = np.frombuffer(b"".join(raw), np.uint8)
-        offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
+        data, offsets = utf8(pc.utf8_lower(pa.array([t for _, t in rows], pa.large_string())))
         hashes, weights, begin, words = weighted_shingles(data, offsets, k)
         full = np.flatnonzero(np.diff(begin))
         self.ids = np.array([rows[i][0] for i in full], np.int64)
@@ -165,7 +163,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, column: str = "leaks", k: int =
             items = Items(rows, k, threshold, radius, blocks)
             for batch in batches:
                 found = []
-                for _, _, data, offsets in pieces(batch.column(at)):
+                for _, _, data, offsets in pieces(pc.utf8_lower(batch.column(at))):
                     hashes, weights, begin, _ = weighted_shingles(data, offsets, k)
                     for hits in items.search(hashes, weights, begin):
                         found.append([(int(items.ids[i]), a, int(items.words[i]), s) for i, (s, a) in sorted(hits.items())])
