@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from orrery.llm.chat import format_chat, read_back
 from orrery.llm.common import table
 from orrery.llm.decontaminate import leaks
+from orrery.llm.jaccard_join import jaccard_join
 from orrery.llm.langid import identify
 from orrery.llm.mixing import mix_counts
 from orrery.llm.quality import quality_rules
@@ -18,6 +19,10 @@ from orrery.llm.toxicity import toxicity
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly")
@@ -57,6 +62,7 @@ def op10_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op1_jaccard_join": op1_jaccard_join,
         "op2_quality_rules": op2_quality_rules,
         "op3_chat_format": op3_chat_format,
         "op4_source_mix": op4_source_mix,
