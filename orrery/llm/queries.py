@@ -13,6 +13,7 @@ from orrery.llm.langid import identify
 from orrery.llm.mixing import mix_counts
 from orrery.llm.quality import quality_rules
 from orrery.llm.ring_sharding import ring_shards
+from orrery.llm.suffix_dedup import suffix_dedup
 from orrery.llm.tokenfile import write_and_read
 from orrery.llm.toxicity import toxicity
 
@@ -47,6 +48,10 @@ def op6_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_and_read(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
@@ -68,6 +73,7 @@ def queries() -> dict:
         "op4_source_mix": op4_source_mix,
         "op5_toxicity": op5_toxicity,
         "op6_token_planes": op6_token_planes,
+        "op7_suffix_dedup": op7_suffix_dedup,
         "op8_language_id": op8_language_id,
         "op9_decontamination": op9_decontamination,
         "op10_ring_sharding": op10_ring_sharding,
