@@ -7,6 +7,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orrery.llm.textkit import pieces, prefix_hash, shingles, span_hash, utf8, word_spans
 
@@ -19,7 +20,7 @@ SHIFTS, ITEMS_AT_ONCE = (-2, -1, 0, 1, 2), 20_000
 _PLAIN = np.full(256, 32, np.uint8)
 _PLAIN[48:58], _PLAIN[97:123], _PLAIN[128:] = np.arange(48, 58), np.arange(97, 123), np.arange(128, 256)
 
-HITS = "array<struct<item_id: bigint, window_start: bigint, window_words: bigint, similarity: double>>"
+HIT = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("window_start", T.LongType()), T.StructField("window_words", T.LongType()), T.StructField("similarity", T.DoubleType())])
 
 
 def weighted_shingles(data: np.ndarray, offsets: np.ndarray, k: int):
@@ -170,8 +171,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, column: str = "leaks", k: int =
                 found = [[dict(zip(("item_id", "window_start", "window_words", "similarity"), x, strict=True)) for x in f] for f in found]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], names=[*batch.schema.names, made])
 
-        kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema) + f", `{made}` {HITS}"
-        out = out.mapInArrow(look, kinds)
+        out = out.mapInArrow(look, T.StructType([*out.schema.fields, T.StructField(made, T.ArrayType(HIT))]))
     if runs > 1:
         extra = [f"{column}_{r}" for r in range(runs)]
         out = out.withColumn(column, F.concat(*extra)).drop(*extra)

@@ -6,10 +6,10 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orrery.llm.common import stored
+from orrery.llm.common import WORD, stored
 from orrery.llm.components import components
 from orrery.llm.textkit import group_starts, grouped, minhash, mix, pieces, seeds, shingle_sets, word_hashes
 
@@ -208,8 +208,8 @@ def verified(members: DataFrame, k: int, threshold: float) -> DataFrame:
     return members.mapInArrow(run, "node long, links long, root long")
 
 
-def jaccard_join(docs: DataFrame, k: int = SHINGLE, threshold: float = SIMILARITY, band: int = BAND, bands: int = BANDS, step: int = STEP, tolerance: float = TOLERANCE) -> DataFrame:
-    """One row for each row of docs: doc_id, class_id (the least doc_id it is linked to, directly or through others) and n_links (other rows at a similarity of at least threshold).
+def jaccard_classes(docs: DataFrame, k: int = SHINGLE, threshold: float = SIMILARITY, band: int = BAND, bands: int = BANDS, step: int = STEP, tolerance: float = TOLERANCE) -> DataFrame:
+    """One row for each row of docs: doc_id, text_key (xxhash64 of the text), class_id (the least doc_id it is linked to, directly or through others), class_text (that one's text_key) and n_links (other rows at a similarity of at least threshold).
 
     The similarity of two texts is the Jaccard coefficient of their sets of k-word shingles (words as written, between ASCII white space;
     a text of 1 to k - 1 words is one shingle). Texts with equal sets form a class, which one of them stands for; its
@@ -249,10 +249,29 @@ def jaccard_join(docs: DataFrame, k: int = SHINGLE, threshold: float = SIMILARIT
 
     roots = components(linked.select(F.col("node").alias("a"), F.col("root").alias("b")))
     found = linked.groupBy("node").agg(F.sum("links").alias("links"))
-    known = classes.select("node", "k2", "of.doc_id", "weight").join(found, "node", "left").join(roots, "node", "left")
+    known = classes.select("node", "k2", "of", "weight").join(found, "node", "left").join(roots, "node", "left")
     known = known.withColumn("component", F.coalesce("component", "node"))
-    least = known.groupBy("component").agg(F.min("doc_id").alias("__class"))
+    least = known.groupBy("component").agg(F.min("of").alias("__class"))
     known = known.join(least, "component").select(F.col("node").alias("__1"), F.col("k2").alias("__2"), "__class", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("__links"))
-    out = signed.select("doc_id", "k1", "k2", "n")
+    out = signed.select("doc_id", "text_key", "k1", "k2", "n")
     mine = (out["k1"] == known["__1"]) & (out["k2"] == known["__2"]) & (out["n"] > 0) & out["doc_id"].isNotNull()
-    return out.join(known, mine, "left").select("doc_id", F.coalesce("__class", "doc_id").alias("class_id"), F.coalesce("__links", F.lit(0)).cast("long").alias("n_links"))
+    return out.join(known, mine, "left").select(
+        "doc_id", "text_key", F.coalesce("__class.doc_id", "doc_id").alias("class_id"), F.coalesce("__class.text_key", "text_key").alias("class_text"), F.coalesce("__links", F.lit(0)).cast("long").alias("n_links")
+    )
+
+
+def jaccard_join(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, class_id and n_links of jaccard_classes()."""
+    return jaccard_classes(docs, **options).select("doc_id", "class_id", "n_links")
+
+
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """The rows of docs without those that have a near duplicate of a lesser doc_id in their class. Rows with an empty text or a null id all stay; of equal rows one does."""
+    classes = jaccard_classes(docs, **options)
+    gone = classes.filter(~((F.col("doc_id") == F.col("class_id")) & (F.col("text_key") == F.col("class_text")))).select(F.col("doc_id").alias("__i"), F.col("text_key").alias("__k")).distinct()
+    keyed = docs.withColumn("__key", F.xxhash64("text"))
+    left = keyed.join(gone, (keyed["doc_id"] == gone["__i"]) & (keyed["__key"] == gone["__k"]), "left_anti")
+    nth = F.row_number().over(Window.partitionBy("doc_id", "__key").orderBy(F.lit(0)))
+    left = left.withColumn("__nth", nth)
+    free = F.col("doc_id").isNull() | ~F.coalesce(F.col("text"), F.lit("")).rlike(WORD)
+    return left.filter(free | (F.col("__nth") == 1)).select(*docs.columns)

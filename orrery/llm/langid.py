@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orrery.llm.common import fold
 
@@ -147,6 +149,27 @@ def train(docs: DataFrame, path: str, train_docs: int = TRAIN_DOCS, rounds: int
     return [m[0] for m in made], np.column_stack([m[1] for m in made])
 
 
+class Memory:
+    """Words that a worker has scored, and their scores, with one model."""
+
+    def __init__(self) -> None:
+        self.words: dict[str, int] = {}
+        self.scores = np.empty((0, 0))
+
+    def put(self, at: int, rows: np.ndarray) -> None:
+        if not len(self.scores):
+            self.scores = np.empty((1 << 14, rows.shape[1]))
+        while at + len(rows) > len(self.scores):
+            self.scores = np.concatenate([self.scores, np.empty_like(self.scores)])
+        self.scores[at : at + len(rows)] = rows
+
+
+@lru_cache(1)
+def remembered(model: str) -> Memory:
+    """The memory of a worker process; it stays from task to task, and goes when another model is used."""
+    return Memory()
+
+
 def detect(docs: DataFrame, languages: list[str], prob: np.ndarray, path: str) -> DataFrame:
     """docs with lang_pred and score: the language under which the text is likeliest, and its posterior for equal priors.
 
@@ -155,12 +178,12 @@ def detect(docs: DataFrame, languages: list[str], prob: np.ndarray, path: str) -
     Ties: the first language by name. Columns of docs with these names are replaced.
     """
     plain = docs.drop("lang_pred", "score")
+    model = hashlib.sha256(repr(languages).encode() + prob.tobytes()).hexdigest()
     at = plain.columns.index("text")
 
     def run(batches):
         matcher, _ = pieces(path)
-        kept: dict[str, int] = {}
-        table = np.empty((1 << 16, len(languages)))
+        memory = remembered(model)
         from collections import Counter
 
         for batch in batches:
@@ -168,21 +191,20 @@ def detect(docs: DataFrame, languages: list[str], prob: np.ndarray, path: str) -
             total = np.zeros((len(counted), len(languages)))
             for a in range(0, len(counted), 256):
                 part = counted[a : a + 256]
+                kept = memory.words
                 if len(kept) > KEPT_WORDS:
-                    kept = {}
+                    kept.clear()
                 fresh = list({w for c in part for w in c if w not in kept})
                 for i in range(0, len(fresh) if languages else 0, 4096):
                     own = fresh[i : i + 4096]
                     own_scores = Lattice(own, matcher).scores(prob)
                     n = len(kept)
-                    while n + len(own) > len(table):
-                        table = np.concatenate([table, np.empty_like(table)])
-                    table[n : n + len(own)] = own_scores
+                    memory.put(n, own_scores)
                     kept.update(zip(own, range(n, n + len(own)), strict=True))
                 for j, c in enumerate(part):
                     if c and languages:
                         rows = np.fromiter(map(kept.__getitem__, c), np.int64, len(c))
-                        total[a + j] = np.fromiter(c.values(), float, len(c)) @ table[rows]
+                        total[a + j] = np.fromiter(c.values(), float, len(c)) @ memory.scores[rows]
             empty = np.array([not c for c in counted], bool) | (not languages)
             if languages:
                 best = total.argmax(1)
@@ -194,9 +216,7 @@ def detect(docs: DataFrame, languages: list[str], prob: np.ndarray, path: str) -
             score = np.where(empty, 0.0, score)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(score)], names=[*batch.schema.names, "lang_pred", "score"])
 
-    schema = plain.schema
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + ", lang_pred string, score double"
-    return plain.mapInArrow(run, kinds)
+    return plain.mapInArrow(run, T.StructType([*plain.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
 
 
 def identify(docs: DataFrame, columns: tuple[str, ...] = ("doc_id", "text"), path: str = public_tokenizers.path("piece_bpe_32k.model"), folds: int = 4, held_out_fold: int = 2, train_docs: int = TRAIN_DOCS) -> DataFrame:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from math import gcd
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orrery.llm.common import WORD
 
@@ -122,7 +125,7 @@ def mix_pieces(
     Null ids are ids like any other. An empty table gives none.
     """
     spark = docs.sparkSession
-    sized = docs.withColumns(
+    sized = docs.drop("size", "__h").withColumns(
         {
             "size": F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"),
             "__h": F.xxhash64("doc_id", "text"),
@@ -201,11 +204,10 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     Pieces that meet in a round are one row. A whole document keeps its text as it is; a part runs from its first
     word to its last one. n_chars, where docs has it, is that of the new text.
     """
-    import regex
-
     columns = docs.columns
-    known, pieces = mix_pieces(docs, **options)
-    runs = pieces.groupBy("doc_id", "source", "__h", "__at", "round", "size").agg(F.sort_array(F.collect_list(F.struct("from_word", "n_words"))).alias("__parts"))
+    packed = docs.select("doc_id", "text", "source", F.struct("*").alias("__row"))  # whatever docs' columns are called
+    known, pieces = mix_pieces(packed, **options)
+    runs = pieces.groupBy("doc_id", "source", "__h", "__at", "round").agg(F.sort_array(F.collect_list(F.struct("from_word", "n_words"))).alias("__parts"))
     per_doc = runs.groupBy("doc_id", "source", "__h").agg(F.sort_array(F.collect_list(F.struct("__at", "round", "__parts"))).alias("__rounds"))
     # rows equal in id and text stand side by side in the line; the nth of them takes the nth place's rounds
     alike = Window.partitionBy("doc_id", "source", "__h").orderBy("size")
@@ -215,16 +217,14 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     places = F.array_sort(F.array_distinct(F.transform("__rounds", lambda x: x["__at"])))
     rows = rows.withColumn("__place", F.try_element_at(places, F.col("__nth")))
     rows = rows.withColumn("__piece", F.explode(F.filter("__rounds", lambda x: x["__at"] == F.col("__place"))))
-    rows = rows.select(*columns, "size", F.col("__piece.__parts").alias("__parts"))
-    schema = docs.schema
-    word = regex.compile(r"[^\x20\x09-\x0D]+")
-
-    def cut(frames):
-        import pandas as pd
-
-        for frame in frames:
-            out = []
-            for i, (text, size, parts) in enumerate(zip(frame["text"], frame["size"], frame["__parts"], strict=True)):
+    rows = rows.select("__row", "text", "size", F.col("__piece.__parts").alias("__parts"))
+    schema = T.StructType([rows.schema["__row"], T.StructField("__text", T.StringType())])
+
+    def cut(batches):
+        for batch in batches:
+            at: list[int] = []
+            texts: list[str] = []
+            for i, (text, size, parts) in enumerate(zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True)):
                 spans: list[list[int]] = []
                 for p in parts:
                     lo, n = p["from_word"], p["n_words"]
@@ -233,14 +233,13 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
                     else:
                         spans.append([lo, lo + n])
                 if spans == [[0, size]]:
-                    out.append((i, text))
-                    continue
-                at = [m.span() for m in word.finditer(text)]
-                out += [(i, text[at[lo][0] : at[hi - 1][1]]) for lo, hi in spans]
-            made = frame.iloc[[i for i, _ in out]].reset_index(drop=True)
-            made["text"] = pd.Series([t for _, t in out], dtype=object)
-            if "n_chars" in columns:
-                made["n_chars"] = pd.Series([len(t) for _, t in out], dtype="int64")
-            yield made[columns]
-
-    return rows.mapInPandas(cut, schema)
+                    made = [text]
+                else:
+                    word = [m.span() for m in re.finditer(WORD, text)]
+                    made = [text[word[lo][0] : word[hi - 1][1]] for lo, hi in spans]
+                at += [i] * len(made)
+                texts += made
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(texts, pa.string())], names=["__row", "__text"])
+
+    new = {"text": F.col("__text"), "n_chars": F.char_length("__text").cast("long")}
+    return rows.mapInArrow(cut, schema).select(*[new[c].alias(c) if c in new else F.col("__row").getField(c).alias(c) for c in columns])
