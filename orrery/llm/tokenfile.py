@@ -6,6 +6,7 @@ import re
 import struct
 import uuid
 import zlib
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -21,6 +22,9 @@ MAGIC = b"PLN1"
 #: Distinct words whose ids a worker keeps.
 KEPT_WORDS = 600_000
 _SPACE = re.compile(r"[ \t\n\r\f\v]+")
+#: The tokenizer's pattern over lower-case Latin-1: contractions, letters, single digits, others. (Fixed: it must cut as the vocabulary file says.)
+_LETTER, _NUMBER = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"
+_PATTERN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^ \t-\r\x85\xa0{_LETTER}{_NUMBER}]+")
 
 CHUNKS = "part int, chunk int, first_id long, n_ids long, doc_ids array<long>, lengths array<long>, payload binary"
 INDEX = "part int, chunk int, first_id long, n_ids long, n_docs int, n_bytes long"
@@ -74,7 +78,11 @@ def unpack(payload: bytes) -> np.ndarray:
 
 
 class WordEncoder:
-    """A tokenizer that never joins across white space, asked once for each distinct word that it meets."""
+    """A tokenizer that never joins across white space, asked once for each distinct word that it meets.
+
+    In texts of Latin-1 characters (which lower case and normal form C take one by one) words are the pieces that the
+    tokenizer's own pattern cuts, in lower case; in others, and around special tokens, runs without white space.
+    """
 
     def __init__(self, path: str):
         import os
@@ -83,11 +91,21 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.kept: dict[str, bytes] = {}
 
+    def words(self, text: str) -> list[str]:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return _SPACE.split(text)
+        if any(s in text for s in self.special):
+            return _SPACE.split(text)
+        return _PATTERN.findall(text.lower())
+
     def __call__(self, text: str | None) -> bytes:
         """The ids of the text, as little-endian 32-bit integers."""
-        words = _SPACE.split(text) if text else []
+        words = self.words(text) if text else []
         try:
             return b"".join(map(self.kept.__getitem__, words))
         except KeyError:
@@ -100,6 +118,12 @@ class WordEncoder:
         return b"".join(map(self.kept.__getitem__, words))
 
 
+@cache
+def encoder(path: str) -> WordEncoder:
+    """One for each worker process: what it has learned stays from task to task."""
+    return WordEncoder(path)
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer: str = public_tokenizers.path("word_bpe_49k.json"), planes: str = "byte", end_id: int = END_ID, chunk_ids: int = CHUNK_IDS) -> None:
     """Writes path/chunks and path/index: the ids of all texts in ascending doc_id order, end_id after each document.
 
@@ -119,7 +143,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = public_tokenizers.
         from pyspark import TaskContext
 
         part, chunk, first = TaskContext.get().partitionId(), 0, 0
-        encode, end = WordEncoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        encode, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
         ids: list[int | None] = []
         held: list[bytes] = []
         size = 0
