@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from functools import cache, lru_cache
 
 import numpy as np
@@ -136,7 +137,6 @@ def train(docs: DataFrame, path: str, train_docs: int = TRAIN_DOCS, rounds: int
 
     def fit(key, frame):
         import pandas as pd
-        from collections import Counter
 
         seen: Counter = Counter()
         for text in frame["text"]:
@@ -184,35 +184,32 @@ def detect(docs: DataFrame, languages: list[str], prob: np.ndarray, path: str) -
     def run(batches):
         matcher, _ = pieces(path)
         memory = remembered(model)
-        from collections import Counter
-
         for batch in batches:
-            counted = [Counter(words_of(t)) for t in batch.column(at).to_pylist()]
-            total = np.zeros((len(counted), len(languages)))
-            for a in range(0, len(counted), 256):
-                part = counted[a : a + 256]
+            total = np.zeros((batch.num_rows, len(languages)))
+            empty = np.ones(batch.num_rows, bool)
+            for a in range(0, batch.num_rows, 256):
+                part = [Counter(words_of(t)) for t in batch.column(at).slice(a, 256).to_pylist()]
                 kept = memory.words
                 if len(kept) > KEPT_WORDS:
                     kept.clear()
                 fresh = list({w for c in part for w in c if w not in kept})
                 for i in range(0, len(fresh) if languages else 0, 4096):
                     own = fresh[i : i + 4096]
-                    own_scores = Lattice(own, matcher).scores(prob)
                     n = len(kept)
-                    memory.put(n, own_scores)
+                    memory.put(n, Lattice(own, matcher).scores(prob))
                     kept.update(zip(own, range(n, n + len(own)), strict=True))
-                for j, c in enumerate(part):
+                for j, c in enumerate(part, a):
                     if c and languages:
+                        empty[j] = False
                         rows = np.fromiter(map(kept.__getitem__, c), np.int64, len(c))
-                        total[a + j] = np.fromiter(c.values(), float, len(c)) @ memory.scores[rows]
-            empty = np.array([not c for c in counted], bool) | (not languages)
+                        total[j] = np.fromiter(c.values(), float, len(c)) @ memory.scores[rows]
             if languages:
                 best = total.argmax(1)
                 with np.errstate(under="ignore"):
                     score = 1 / np.exp(total - total[np.arange(len(best)), best][:, None]).sum(1)
                 names = [UNDETERMINED if e else languages[b] for e, b in zip(empty, best, strict=True)]
             else:
-                names, score = [UNDETERMINED] * len(counted), np.zeros(len(counted))
+                names, score = [UNDETERMINED] * batch.num_rows, np.zeros(batch.num_rows)
             score = np.where(empty, 0.0, score)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(score)], names=[*batch.schema.names, "lang_pred", "score"])
 

@@ -20,7 +20,7 @@ from orrery.llm.common import shared_dir
 BLOCK_IDS, CHUNK_IDS, END_ID, LEVEL = 4096, 1 << 17, 1, 3
 MAGIC = b"PLN1"
 #: Distinct words whose ids a worker keeps.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 1_000_000
 _SPACE = re.compile(r"[ \t\n\r\f\v]+")
 #: The tokenizer's pattern over lower-case Latin-1: contractions, letters, single digits, others. (Fixed: it must cut as the vocabulary file says.)
 _LETTER, _NUMBER = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"
@@ -92,30 +92,45 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        size = self.tokenizer.get_vocab_size()
+        self.ends_word = np.array([str(self.tokenizer.id_to_token(i)).endswith("</w>") for i in range(size)])
         self.kept: dict[str, bytes] = {}
 
-    def words(self, text: str) -> list[str]:
+    def words(self, text: str) -> tuple[list[str], bool]:
+        """The text's words, and whether they are the tokenizer's own."""
         try:
             text.encode("latin-1")
         except UnicodeEncodeError:
-            return _SPACE.split(text)
+            return _SPACE.split(text), False
         if any(s in text for s in self.special):
-            return _SPACE.split(text)
-        return _PATTERN.findall(text.lower())
+            return _SPACE.split(text), False
+        return _PATTERN.findall(text.lower()), True
 
     def __call__(self, text: str | None) -> bytes:
         """The ids of the text, as little-endian 32-bit integers."""
-        words = self.words(text) if text else []
+        words, whole = self.words(text) if text else ([], True)
         try:
             return b"".join(map(self.kept.__getitem__, words))
         except KeyError:
             pass
         if len(self.kept) > KEPT_WORDS:
             self.kept = {}
-        fresh = [w for w in dict.fromkeys(words) if w not in self.kept]
+        self.learn([w for w in dict.fromkeys(words) if w not in self.kept], whole)
+        return b"".join(map(self.kept.__getitem__, words))
+
+    def learn(self, fresh: list[str], whole: bool) -> None:
+        """Takes in new words: if each is one word to the tokenizer too, all are one text, whose ids are cut where a word ends."""
+        if whole:
+            ids = np.array(self.tokenizer.encode(" ".join(fresh), add_special_tokens=False).ids, "<u4")
+            ends = (np.flatnonzero(self.ends_word[ids]) + 1) * 4
+            if len(ends) == len(fresh) and (not fresh or ends[-1] == 4 * len(ids)):
+                raw, a = ids.tobytes(), 0
+                for w, b in zip(fresh, ends.tolist(), strict=True):
+                    self.kept[w] = raw[a:b]
+                    a = b
+                return
         for w, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
             self.kept[w] = np.array(e.ids, "<u4").tobytes()
-        return b"".join(map(self.kept.__getitem__, words))
 
 
 @cache
