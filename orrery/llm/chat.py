@@ -13,6 +13,8 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from orrery.llm.common import small_batches
+
 #: Reserved ids, above the ids of the vocabulary.
 TURN_START, TURN_END = "<|im_start|>", "<|im_end|>"
 START_ID, END_ID = 50257, 50258
@@ -81,6 +83,7 @@ def format_chat(
     Rows without a turn come first. Rows without conv_id form a conversation with a null id. Equal turns are kept in the order
     of role and text. Other columns are ignored. Empty table: no rows.
     """
+    small_batches(conversations.sparkSession)
     columns = ["conv_id", "turn", "role", "text"]
     spread = conversations.select(*columns).repartition("conv_id").sortWithinPartitions(*columns)
     schema = pa.schema([("conv_id", pa.int64()), ("part", pa.int32()), ("input_ids", pa.list_(pa.int32())), ("loss_mask", pa.list_(pa.int8()))])

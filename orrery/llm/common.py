@@ -35,3 +35,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def fold(column: str, folds: int):
     """The fold of a row: crc32 of the id as text, modulo folds; a null id is in the fold of the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % folds
+
+
+#: Rows and bytes of a batch between Spark and Python, at most: a worker holds one or two, and Spark as much again.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batch limits to BATCH_ROWS and BATCH_BYTES, where they are higher."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))

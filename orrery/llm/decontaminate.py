@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orrery.llm.common import small_batches
 from orrery.llm.textkit import pieces, prefix_hash, shingles, span_hash, utf8, word_spans
 
 #: Words in a shingle, least similarity, Hamming radius and blocks of the 64-bit fingerprints.
@@ -149,6 +150,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, column: str = "leaks", k: int =
     Items reach the executors in runs of at most items_at_once, a pass over docs for each run. A column of docs with the new column's
     name is replaced. Empty tables: no leaks.
     """
+    small_batches(docs.sparkSession)
     given = benchmark.select(F.coalesce(F.col("item_id").cast("long"), F.lit(-1)).alias("item_id"), "text").filter("text IS NOT NULL")
     runs = max(1, -(-given.count() // items_at_once))
     out = docs.drop(column)

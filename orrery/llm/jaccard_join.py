@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orrery.llm.common import WORD, stored
+from orrery.llm.common import WORD, small_batches, stored
 from orrery.llm.components import components
 from orrery.llm.textkit import group_starts, grouped, minhash, mix, pieces, seeds, shingle_sets, word_hashes
 
@@ -224,6 +224,7 @@ def jaccard_classes(docs: DataFrame, k: int = SHINGLE, threshold: float = SIMILA
     Null or empty texts: alone in their class, no links. Null ids: a null class_id, no part in links. Rows with the same doc_id are rows
     of their own, also in the numbers of links. Empty table: no rows. Other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     signed = stored(signatures(docs, k, band, bands), "signatures")
     usable = signed.filter("n > 0 AND doc_id IS NOT NULL")
     # a class's node is the first half of its key; its text is that of the least doc_id

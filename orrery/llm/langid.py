@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orrery.llm.common import fold
+from orrery.llm.common import fold, small_batches
 
 #: A word is a run of letters; longer ones are cut into words of this many characters.
 LETTERS, LONGEST = re.compile(r"[^\W\d_]+"), 48
@@ -23,7 +23,7 @@ TRAIN_DOCS, ROUNDS = 2400, 3
 #: Log-probability of a character that no piece covers, and of pieces never expected in a language.
 UNKNOWN, SMOOTHING = -16.0, 0.01
 #: Words whose scores a worker keeps.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 250_000
 UNDETERMINED = "und"
 
 
@@ -177,6 +177,7 @@ def detect(docs: DataFrame, languages: list[str], prob: np.ndarray, path: str) -
     over its words. A null text, one without a letter, or no languages: lang_pred `und`, score 0.
     Ties: the first language by name. Columns of docs with these names are replaced.
     """
+    small_batches(docs.sparkSession)
     plain = docs.drop("lang_pred", "score")
     model = hashlib.sha256(repr(languages).encode() + prob.tobytes()).hexdigest()
     at = plain.columns.index("text")

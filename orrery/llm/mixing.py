@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orrery.llm.common import WORD
+from orrery.llm.common import WORD, small_batches
 
 #: Words in a block, where a source has enough of them; blocks of a source at most.
 BLOCK_WORDS, MAX_BLOCKS = 4096, 1 << 16
@@ -204,6 +204,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     Pieces that meet in a round are one row. A whole document keeps its text as it is; a part runs from its first
     word to its last one. n_chars, where docs has it, is that of the new text.
     """
+    small_batches(docs.sparkSession)
     columns = docs.columns
     packed = docs.select("doc_id", "text", "source", F.struct("*").alias("__row"))  # whatever docs' columns are called
     known, pieces = mix_pieces(packed, **options)

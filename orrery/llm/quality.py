@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import stored
+from orrery.llm.common import small_batches, stored
 from orrery.llm.textkit import pieces, prefix_hash, shingles, span_hash, word_hashes, word_spans
 
 SYMBOLS = "#*$%&|<>"
@@ -202,6 +202,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, tree
     Null text: no words, so it fails. Null labels are left out. Rows that labels repeats or contradicts count each time.
     Repeated documents are judged each for itself, alike. Empty tables: no rows; without labels the base rules alone decide.
     """
+    small_batches(docs.sparkSession)
     counts = stored(document_statistics(docs), "quality-counts")
     counts = counts.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
     passed = counts.filter("NOT base_failed")

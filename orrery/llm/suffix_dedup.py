@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import stored
+from orrery.llm.common import small_batches, stored
 from orrery.llm.textkit import group_starts, grouped, mix, pieces, power, prefix_hash, span_hash
 
 #: Bytes of a repeated string, of an anchor in it, and of the regions in a shard's suffix array.
@@ -359,6 +359,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, sh
     Null or empty texts: nothing to remove, the hash of no bytes. Rows that are equal count as copies. Null ids are ids like any other.
     Texts of fewer than `length` bytes are kept whole. Empty table: no rows.
     """
+    small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     spans = removed_spans(docs, length, anchor, shard_bytes)
     s = spans.select(F.col("doc_id").alias("__i"), F.col("text_key").alias("__k"), "spans")

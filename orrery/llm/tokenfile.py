@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orrery.llm.common import shared_dir
+from orrery.llm.common import shared_dir, small_batches
 
 #: Ids in a block (the unit that is transposed), ids after which a chunk is closed, the id that ends a document, zstandard's level.
 BLOCK_IDS, CHUNK_IDS, END_ID, LEVEL = 4096, 1 << 17, 1, 3
@@ -149,6 +149,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = public_tokenizers.
     Null text: no ids but the end id. Null ids come first. Rows with equal ids are ordered by a hash of the text. An empty table gives an empty index.
     The tokenizer must drop white space between words (as its vocabulary file's description says); words are then encoded each for itself.
     """
+    small_batches(docs.sparkSession)
     ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
     schema = pa.schema(
         [("part", pa.int32()), ("chunk", pa.int32()), ("first_id", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("payload", pa.binary())]

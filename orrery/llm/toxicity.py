@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import fold
+from orrery.llm.common import fold, small_batches
 from orrery.llm.textkit import mix, pieces, prefix_hash, power
 
 #: Lengths of the n-grams, in bytes of the lower-case text; hash buckets that they are counted in.
@@ -160,6 +160,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out_fold:
     feature at all. Labels of documents in the held-out fold are not read. Null labels are left out; of contradicting ones the higher counts.
     Without labels of both kinds every score is near 0 or near 1. Repeated rows are scored alike; an empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     weights, bias = train(docs, labels, folds, held_out_fold, **options)
     wanted = weights != 0
 
