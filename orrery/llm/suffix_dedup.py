@@ -68,8 +68,8 @@ def words8(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
-    """Positions in the order of their suffixes, compared over the first `depth` bytes at least.
+def suffix_array(data: np.ndarray) -> np.ndarray:
+    """Positions in the order of their suffixes.
 
     Larsson and Sadakane: suffixes in groups by their first h bytes; a group is numbered by its first slot; groups of more than one are sorted
     by the numbers of the groups h bytes on, which doubles h. Groups of one are never touched again.
@@ -89,7 +89,7 @@ def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
         rank[sa[slots]] = group
         alone = new & np.append(new[1:], True)
         slots = slots[~alone]
-        if h >= depth or not len(slots):
+        if h >= n or not len(slots):
             return sa
         p = sa[slots].astype(np.int64)
         on = p + h
@@ -142,7 +142,7 @@ def common_prefixes(data: np.ndarray, sa: np.ndarray, most: int, block: int = 25
 
 def repeated_windows(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
     """Flags of the sorted starts whose window of `length` bytes begins at another of the starts too."""
-    sa = suffix_array(data, length)
+    sa = suffix_array(data)
     lcp = common_prefixes(data, sa, length)
     number = np.full(len(data), -1, np.int64)
     number[starts] = np.arange(len(starts))
