@@ -174,6 +174,13 @@ def subgraph(edge_rows: DataFrame, nodes: DataFrame) -> DataFrame:
     return edge_rows.join(nodes.select(F.col("node").alias("src")).distinct(), "src", "left_semi").join(nodes.select(F.col("node").alias("dst")).distinct(), "dst", "left_semi")
 
 
+def items_subgraph(edge_rows: DataFrame, chosen: DataFrame, most_similar: int = 400) -> DataFrame:
+    """The chosen nodes' (entity_id) best most_similar SIMILAR_TO edges, and all their other edges."""
+    own = edge_rows.join(chosen.select(F.col("entity_id").alias("src")).distinct(), "src", "left_semi")
+    near = own.filter("rel = 'SIMILAR_TO'").orderBy(F.desc("weight"), "src", "dst").limit(most_similar)
+    return near.unionByName(own.filter("rel <> 'SIMILAR_TO'"))
+
+
 def outgoing(edge_rows: DataFrame, node: str, rel: str | None = None, top: int = 20) -> DataFrame:
     found = edge_rows.filter(F.col("src") == node)
     found = found if rel is None else found.filter(F.col("rel") == rel)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from orrery.functions import vectors as vx
 from orrery.operators import clusters as cl
-from orrery.operators import knn, links
+from orrery.operators import density, knn, links
 from orrery.plans.relations import CENTROIDS, COMPOSITION, FUSED, KNN, clusters, fused, items
 
 Q: dict = {}
@@ -201,3 +201,12 @@ add(
     o AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY kind IS NULL, rank) AS nth FROM t WHERE kind IS NOT NULL OR rank <= 3)
     SELECT CAST(src AS BIGINT) AS src, CAST(dst AS BIGINT) AS dst, coalesce(kind, 'ASSOCIATED_WITH') AS relation_type, round(round(CASE WHEN kind IS NULL THEN half ELSE 0.8 * half + 0.2 * jac END, 6), 5) AS weight FROM o WHERE nth <= 3""",
 )
+
+add(
+    "density_clusters",
+    lambda s, d: density.density_clusters(fused(s, d), 1.16, 3, 4, 6),
+    f"""WITH RECURSIVE {KNN}, nb AS (SELECT src, dst, rank, sqrt(greatest(0, 2 - 2 * sim)) AS d FROM top WHERE rank <= 6), core AS (SELECT src AS node, d AS c FROM nb WHERE rank = 3),
+    e AS (SELECT src, dst FROM nb JOIN core a ON a.node = src JOIN core b ON b.node = dst WHERE greatest(d, a.c, b.c) <= 1.16), u AS (SELECT src AS a, dst AS b FROM e UNION SELECT dst, src FROM e),
+    reach AS (SELECT a, b FROM u UNION SELECT r.a, u.b FROM reach r JOIN u ON r.b = u.a), comp AS (SELECT item_id, least(item_id, coalesce(min(b), item_id)) AS k FROM fused LEFT JOIN reach ON a = item_id GROUP BY item_id),
+    z AS (SELECT k, count(*) AS n FROM comp GROUP BY 1 HAVING count(*) >= 4), r AS (SELECT k, CAST(row_number() OVER (ORDER BY n DESC, k) - 1 AS INTEGER) AS cluster_id FROM z) SELECT item_id, coalesce(cluster_id, -1) AS cluster_id FROM comp LEFT JOIN r USING (k)""",
+)

@@ -200,3 +200,19 @@ add("top_per_group", lambda s, d: sampling.top_per_group(table(s, d, "orders"),
 add("stratified_sample", lambda s, d: sampling.stratified(items(s, d), "item_id", "label", 100).groupBy("label").agg(F.count(F.lit(1)).alias("n")))
 add("per_group_cap", lambda s, d: sampling.per_group(items(s, d), "item_id", "source", 5).groupBy("source").agg(F.count(F.lit(1)).alias("n")), f"WITH {ITEMS} SELECT source, least(count(*), 5) AS n FROM items GROUP BY 1")
 add("simple_sample", lambda s, d: sampling.sample(items(s, d), "item_id", 64).select("item_id"))
+
+
+def catalog_status(s, d):
+    """The whole catalog over stand-in tables: name, fn, status, rows."""
+    from orrery.plans import eda_catalog as ec
+
+    measures = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    line = table(s, d, "lineitem")
+    morph = line.select(F.col("l_returnflag").alias("label"), *[F.col(measures[i % 4]).alias(c) for i, c in enumerate(ec.FEATURES)])
+    vectors = fused(s, d).select("item_id", "vector", F.size("vector").cast("long").alias("dim"))
+    tables = {"morph": morph, "items": items(s, d), "clusters": clusters(s, d), "members": fused(s, d), **{f"emb_{m}": vectors for m in ec.MODALITIES}}
+    out = eda.run_catalog(ec.items(), tables, functions=ec.FUNCTIONS)
+    return s.createDataFrame([(n, status, len(r.columns) if status == "ok" else 0) for n, status, r in out], "name string, status string, n_columns int")
+
+
+add("eda_catalog", catalog_status)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from orrery.operators import export, graph, knn
+from orrery.operators import export, graph, knn, ontology
 from orrery.plans.relations import CLUSTERS, ITEMS, KNN, SIM, clusters, fused, items, sha_id, vector_items
 from orrery.sources.io import table
 
@@ -175,3 +175,33 @@ add("ontology_path", lambda s, d: export.ontology(labelled_parts(s, d)).select("
 add("triage", lambda s, d: labelled_parts(s, d).select("item_id", export.triage(F.col("label")).alias("kind")), f"WITH {PARTS} SELECT item_id, CASE WHEN contains(label, 'carcinoma') THEN 'critical-bug-urgent' WHEN contains(label, 'debris') THEN 'wontfix-noise' ELSE 'feature-routine' END AS kind FROM parts")
 add("presentation", lambda s, d: export.presentation(labelled_parts(s, d)).select("item_id", "display_label", "title"), f"WITH {PARTS}, p AS (SELECT item_id, label || ' · ' || right(item_id, 8) AS display_label, regexp_replace(cluster_name, '[^A-Za-z0-9 .,;:()/>%+-]', ' ', 'g') AS c FROM parts) SELECT item_id, display_label, trim(c) || ' | ' || display_label AS title FROM p")
 add("tiles", lambda s, d: export.tiles(table(s, d, "part").select("p_partkey", (F.col("p_size") + 10).alias("width"), (F.col("p_size") * 2 + 7).alias("height")), 3).select("p_partkey", "tile", "x", "y", "tile_width", "tile_height"), """WITH i AS (SELECT p_partkey, p_size + 10 AS w, p_size * 2 + 7 AS h, t AS tile, t % 3 AS c, t // 3 AS r FROM part, range(9) g(t)) SELECT p_partkey, CAST(tile AS INTEGER) AS tile, CAST(floor(c * w / 3) AS BIGINT) AS x, CAST(floor(r * h / 3) AS BIGINT) AS y, CAST(floor((c + 1) * w / 3) - floor(c * w / 3) AS BIGINT) AS tile_width, CAST(floor((r + 1) * h / 3) - floor(r * h / 3) AS BIGINT) AS tile_height FROM i""")
+
+COLLECTIONS = ["CRC_VAL_HE_7K", "HF_PCAM", "HF_LC25000", "HF_BACH", "HF_BREAKHIS_RCL_7500", "ORCA_ORAL_ANNOTATED_100", "OTHER"]
+RAW = ["adipose tissue", "1", "0__squamous_carcinomas", "breast__insitu", "breast__malignant__ductal_carcinoma__40x", "dysplasia", "skin"]
+
+
+def collected(s, d):
+    pick = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), (F.col("p_partkey") % 7 + 1).cast("int"))
+    rows = table(s, d, "part").select(F.col("p_partkey").cast("string").alias("item_id"), pick(COLLECTIONS).alias("dataset_key"), pick(RAW).alias("raw_label"), (F.col("p_partkey") % 3).alias("cluster_id"))
+    return ontology.with_levels(rows.withColumn("label", F.col("raw_label")))
+
+
+PATHS = (
+    "VALUES (0, 'Mesenchymal', 'Colorectal', 'Normal/Benign', 'Adipose Tissue'), (1, 'Epithelial', 'Lymph Node', 'Malignant/Invasive', 'Metastatic Carcinoma'), (2, 'Epithelial', 'Lung', 'Malignant/Invasive', 'Squamous Cell Carcinoma'), (3, 'Epithelial', 'Breast', 'Pre-Malignant/In Situ', 'Carcinoma in situ'),"
+    " (4, 'Epithelial', 'Breast', 'Malignant/Invasive', 'Ductal Carcinoma'), (5, 'Epithelial', 'Oral Cavity', 'Pre-Malignant/In Situ', 'Dysplasia'), (6, 'Other Tissue', 'Generic', 'Unknown State', 'Skin')"
+)
+LEVELLED = f"lv AS (SELECT CAST(p_partkey AS VARCHAR) AS item_id, p_partkey % 3 AS cluster_id, v.* FROM part JOIN ({PATHS}) v(k, l2, l3, l4, l5) ON p_partkey % 7 = k)"
+add("ontology_levels", lambda s, d: collected(s, d).select("item_id", F.col("cluster_l2").alias("l2"), F.col("cluster_l3").alias("l3"), F.col("cluster_l4").alias("l4"), F.col("cluster_l5").alias("l5")), f"WITH {LEVELLED} SELECT item_id, l2, l3, l4, l5 FROM lv")
+add("ontology_keys", lambda s, d: ontology.keyed(collected(s, d)).groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"), F.min("ontology_path").alias("path")))
+add(
+    "majority_names",
+    lambda s, d: ontology.majority_names(collected(s, d)),
+    f"""WITH {LEVELLED}, t AS (SELECT cluster_id, lvl, v, n, row_number() OVER (PARTITION BY cluster_id, lvl ORDER BY n DESC, v) AS r, n / sum(n) OVER (PARTITION BY cluster_id, lvl) AS share FROM (SELECT cluster_id, 'e' AS lvl, l5 AS v, count(*) AS n FROM lv GROUP BY ALL UNION ALL SELECT cluster_id, 'o', l3, count(*) FROM lv GROUP BY ALL UNION ALL SELECT cluster_id, 's', l4, count(*) FROM lv GROUP BY ALL)),
+    p AS (SELECT cluster_id, max(CASE WHEN lvl = 'e' AND r = 1 THEN v END) AS e, max(CASE WHEN lvl = 'e' AND r = 2 THEN v END) AS e2, max(CASE WHEN lvl = 'e' AND r = 1 THEN share END) AS share, max(CASE WHEN lvl = 'o' AND r = 1 THEN v END) AS o, max(CASE WHEN lvl = 's' AND r = 1 THEN v END) AS st FROM t GROUP BY 1)
+    SELECT cluster_id, CASE WHEN e2 IS NOT NULL AND share < 0.55 THEN o || ' — Mixed (' || st || '): ' || e || ', ' || e2 ELSE o || ' — ' || e || ' (' || st || ')' END AS cluster_name FROM p""",
+)
+add(
+    "item_subgraph",
+    lambda s, d: graph.items_subgraph(vector_graph(s, d), vector_nodes(s, d).filter("name IN ('3', '7', '11')"), 400).groupBy("rel").agg(F.count(F.lit(1)).alias("n")),
+    f"WITH {KNN} SELECT 'SIMILAR_TO' AS rel, count(*) AS n FROM knn WHERE src IN ('3', '7', '11') UNION ALL SELECT r, 3 FROM (VALUES ('HAS_LABEL'), ('IN_CLUSTER'), ('PART_OF')) t(r)",
+)
