@@ -94,6 +94,31 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
+OP1_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents WHERE doc_id IS NOT NULL),
+s AS (SELECT doc_id, list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i : i + 4], ' '))) AS s FROM w WHERE len(w) > 0),
+x AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS k FROM x a JOIN x b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM p WHERE 10 * k >= 8 * (na + nb - k)),
+reach AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a)
+SELECT d.doc_id, least(d.doc_id, coalesce(m, d.doc_id)) AS class_id, coalesce(n, 0)::BIGINT AS n_links
+FROM documents d LEFT JOIN (SELECT a, min(b) AS m FROM reach GROUP BY 1) r ON r.a = d.doc_id LEFT JOIN (SELECT a, count(*) AS n FROM link GROUP BY 1) l ON l.a = d.doc_id
+"""
+
+OP7_SQL = r"""
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS t, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT doc_id, i, md5(t[i : i + 399]) AS h FROM d, LATERAL (SELECT unnest(range(1, n - 398)) AS i)),
+m AS (SELECT doc_id, i FROM w QUALIFY count(*) OVER (PARTITION BY h) > 1),
+g AS (SELECT doc_id, i, CASE WHEN i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 400 OR lag(i) OVER (PARTITION BY doc_id ORDER BY i) IS NULL THEN 1 ELSE 0 END AS new FROM m),
+k AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM g),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + 399 AS b FROM k GROUP BY doc_id, k),
+cut AS (SELECT doc_id, a, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) + 1 AS from_, a - 1 AS to_, b FROM spans),
+parts AS (SELECT doc_id, from_, to_ FROM cut UNION ALL SELECT d.doc_id, coalesce(max(b), 0) + 1, any_value(n) FROM d LEFT JOIN spans USING (doc_id) GROUP BY d.doc_id),
+kept AS (SELECT doc_id, string_agg(CASE WHEN to_ >= from_ THEN hex(t[from_ : to_]) ELSE '' END, '' ORDER BY from_) AS h FROM parts JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, n::BIGINT AS n_bytes, coalesce(r, 0)::BIGINT AS n_removed, coalesce(c, 0)::BIGINT AS n_spans, sha256(unhex(h)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN (SELECT doc_id, sum(b - a + 1) AS r, count(*) AS c FROM spans GROUP BY 1) z USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_format": OP3_SQL}
+    return {"op1_jaccard_join": OP1_SQL, "op3_chat_format": OP3_SQL, "op7_suffix_dedup": OP7_SQL}
