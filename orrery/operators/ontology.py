@@ -105,9 +105,9 @@ def with_levels(df: DataFrame, dataset_col: str = "dataset_key", label_col: str
 
 
 def keyed(df: DataFrame) -> DataFrame:
-    """df with cluster_id: the place of its ontology path among the sorted paths."""
+    """df with cluster_id (replaced): the place of its ontology path among the sorted paths."""
     codes = df.select("ontology_path").distinct().withColumn("cluster_id", (F.row_number().over(Window.orderBy("ontology_path")) - 1).cast("int"))
-    return df.join(codes, "ontology_path")
+    return df.drop("cluster_id").join(codes, "ontology_path")
 
 
 def majority_names(df: DataFrame, mixed: float = 0.55, noise: int = -1) -> DataFrame:
