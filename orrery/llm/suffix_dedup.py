@@ -324,16 +324,16 @@ def merged_marks(blobs: DataFrame, length: int) -> DataFrame:
 def removed_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """doc_id, text_key (xxhash64 of the text) and spans: the byte runs of each text that are covered by a string of `length` bytes that starts anywhere else too. Texts without such are left out."""
     found = stored(anchored(docs, length, anchor), "anchors")
-    twice = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
-    met = stored(found.join(twice, "anchor", "left_semi"), "met")
-    kinds = met.groupBy("anchor", "region_key").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "text_key", "begin")).alias("of"), F.first("windows").alias("windows"))
-    kinds = stored(kinds, "regions")
+    # counted before they meet, so that an anchor or region in very many texts is a few rows
+    counted = found.groupBy("anchor", "region_key").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "text_key", "begin")).alias("of"), F.first("windows").alias("windows"))
+    per_anchor = F.sum("copies").alias("__all"), F.count(F.lit(1)).alias("__kinds"), F.sum(F.col("windows") + length).alias("__bytes")
+    sums = counted.groupBy("anchor").agg(*per_anchor).filter("__all > 1")
+    kinds = stored(counted.join(sums, "anchor"), "regions")
     # a region that is there as a whole twice or more is removed everywhere; one of its copies stands for it in the suffix arrays
-    whole = met.join(kinds.filter("copies > 1").select("anchor", "region_key"), ["anchor", "region_key"], "left_semi")
+    whole = found.join(kinds.filter("copies > 1").select("anchor", "region_key"), ["anchor", "region_key"], "left_semi")
     whole = whole.select("doc_id", "text_key", F.array("begin").alias("starts"), F.array(F.col("begin") + F.col("windows") + (length - 1)).alias("ends"))
-    shards = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("windows") + length).alias("bytes")).filter("n > 1")
-    shards = shards.select("anchor", F.ceil(F.col("bytes") / shard_bytes).cast("int").alias("subs"))
-    several = kinds.join(shards, "anchor").select(
+    shards = kinds.filter("__kinds > 1").withColumn("subs", F.ceil(F.col("__bytes") / shard_bytes).cast("int"))
+    several = shards.select(
         "anchor", F.pmod(F.xxhash64("region_key"), F.col("subs")).cast("int").alias("sub"), "subs", (F.col("copies") == 1).alias("alone"), "of.doc_id", "of.text_key", "of.begin", "windows"
     )
     parts = regions(several, docs, length).repartition("anchor", "sub").sortWithinPartitions("anchor", "sub")
