@@ -17,11 +17,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir; a temporary one where that is unset (local tests)."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that all executors share: spark.checkpoint.dir; where that is unset, the context's checkpoint folder, or a temporary one (local tests)."""
+    context = spark.sparkContext
+    where = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not where:
         where = "file://" + tempfile.mkdtemp(prefix="orrery-")
-        spark.conf.set("spark.checkpoint.dir", where)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(where)
     return where
 
 

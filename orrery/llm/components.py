@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orrery.llm.common import shared_dir
+
 
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     """(node, component) for the nodes of undirected edges (a, b): the component is its least node.
@@ -13,6 +15,7 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     result is checkpointed in the shared folder. It ends when a round changes nothing (after about the logarithm of
     the largest component's size rounds) and fails after `rounds`. Null ends and loops are left out.
     """
+    shared_dir(edges.sparkSession)
     now = edges.select("a", "b").filter("a IS NOT NULL AND b IS NOT NULL AND a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     now, before = now.checkpoint(), None
     for _ in range(rounds):

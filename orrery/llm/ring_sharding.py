@@ -35,20 +35,25 @@ def walk(loads: dict[int, int], shards: int, vnodes: int, cells: int, slack: flo
     capacity = -(-int(total * (1 + slack)) // shards) if total else 0
     used = [0] * shards
     out = [""] * cells
-    distinct: list[list[int]] = []
-    for k in range(len(at)):
-        seen = dict.fromkeys(owner[(k + i) % len(at)] for i in range(len(at)))
-        distinct.append(list(seen))
+
+    def clockwise(cell: int):
+        """Each shard once, in the order in which the ring meets them from the cell on."""
+        first, seen = bisect.bisect_left(at, cell), set()
+        for i in range(len(at)):
+            s = owner[(first + i) % len(at)]
+            if s not in seen:
+                seen.add(s)
+                yield s
+
     for cell in sorted(range(cells), key=lambda c: (-loads.get(c, 0), c)):
         load = loads.get(cell, 0)
-        order = distinct[bisect.bisect_left(at, cell) % len(at)]
-        fit = next((s for s in order if used[s] + load <= capacity), None)
+        fit = next((s for s in clockwise(cell) if used[s] + load <= capacity), None)
         if fit is not None:
             used[fit] += load
             out[cell] = str(fit)
             continue
         done, parts = 0, []
-        for s in order:
+        for s in clockwise(cell):
             room = capacity - used[s]
             if room > 0 and done < load:
                 parts.append(f"{s}@{done}")
@@ -78,7 +83,7 @@ def ring_shards(
     What reaches the driver is one sum per ring cell, at most `cells` rows at any input size. Slots number
     each shard's rows without a gap from 0: each cell counts its own rows and gets an offset.
 
-    Null text: no bytes, size 1, text_crc32 null. Null id: a key like any other. Rows that are equal in
+    Null text: no bytes, size 1, text_crc32 0. Null id: a key like any other. Rows that are equal in
     all of id and text are interchangeable and get different slots. Empty table: no rows. Input columns with the name of an
     output column are replaced.
     """
@@ -88,7 +93,7 @@ def ring_shards(
     keyed = docs.drop(*[c for c in made if c not in (id_col, text_col)]).withColumns(
         {
             "size": F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1,
-            "text_crc32": F.crc32(text.cast("binary")),
+            "text_crc32": F.crc32(F.coalesce(text, F.lit("")).cast("binary")),
             "__ring_h": F.xxhash64(F.col(id_col), text),
         }
     )
