@@ -187,6 +187,20 @@ def outgoing(edge_rows: DataFrame, node: str, rel: str | None = None, top: int =
     return found.orderBy("rel", F.desc("weight"), "dst").limit(top)
 
 
+def bridge_edges(edge_rows: DataFrame, groups: DataFrame, top: int = 80) -> DataFrame:
+    """src, dst, distance: the `top` closest edges between groups (node, group)."""
+    ends = edge_rows.filter("rel = 'SIMILAR_TO'")
+    for side in ("src", "dst"):
+        ends = ends.join(groups.select(F.col("node").alias(side), F.col("group").alias(f"{side}_group")), side)
+    return ends.filter("src_group <> dst_group").select("src", "dst", (1 - F.col("weight")).alias("distance")).orderBy("distance", "src", "dst").limit(top)
+
+
+def degree_table(edge_rows: DataFrame, nodes: DataFrame, top: int = 20) -> DataFrame:
+    """entity_id, entity_type, name, degree of the nodes with most edges."""
+    deg = degrees(edge_rows).select(F.col("node").alias("entity_id"), "degree")
+    return nodes.join(deg, "entity_id").select("entity_id", "entity_type", "name", "degree").orderBy(F.desc("degree"), "entity_id").limit(top)
+
+
 def ego(edge_rows: DataFrame, centre: str, cap: int = 70) -> DataFrame:
     """Edges of the centre to its best `cap` neighbours, and among those."""
     near = edge_rows.filter((F.col("src") == centre) & (F.col("rel") == "SIMILAR_TO")).orderBy(F.desc("weight"), "dst").limit(cap).select(F.col("dst").alias("node"))

@@ -66,3 +66,20 @@ def sidecar(artifact: str, schema_version: str, table: DataFrame | None = None,
 def changed(old: DataFrame, new: DataFrame) -> DataFrame:
     """Paths whose fingerprint is new or another: what has to be built again."""
     return new.join(old.select("path", F.col("sha256").alias("was")), "path", "left").filter("was IS NULL OR was <> sha256").drop("was")
+
+
+PLOTS = "plot_id string, stage string, title string, path string, created_at_utc string, tags_json string, is_core boolean, notes string"
+
+
+def add_plot(spark: SparkSession, index: str, stage: str, title: str, path: str, tags: list[str] | None = None, is_core: bool = False, notes: str = "") -> str:
+    """Appends a plot's row to the index at `index`; its id is the first 12 hex digits of the sha1 of stage, title and path."""
+    import hashlib
+
+    plot_id = hashlib.sha1(f"{stage}|{title}|{path}".encode()).hexdigest()[:12]
+    spark.createDataFrame([(plot_id, stage, title, path, now(), json.dumps(tags or []), is_core, notes)], PLOTS).write.mode("append").parquet(index)
+    return plot_id
+
+
+def plots(spark: SparkSession, index: str) -> DataFrame:
+    """The index with the last row of each plot."""
+    return first_by_order(spark.read.schema(PLOTS).parquet(index), ["plot_id"], [F.desc("created_at_utc")])

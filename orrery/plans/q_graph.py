@@ -205,3 +205,19 @@ add(
     lambda s, d: graph.items_subgraph(vector_graph(s, d), vector_nodes(s, d).filter("name IN ('3', '7', '11')"), 400).groupBy("rel").agg(F.count(F.lit(1)).alias("n")),
     f"WITH {KNN} SELECT 'SIMILAR_TO' AS rel, count(*) AS n FROM knn WHERE src IN ('3', '7', '11') UNION ALL SELECT r, 3 FROM (VALUES ('HAS_LABEL'), ('IN_CLUSTER'), ('PART_OF')) t(r)",
 )
+
+add(
+    "bridge_edges",
+    lambda s, d: rounded(graph.bridge_edges(knn_edges(s, d), groups(s, d), 20), ["distance"]),
+    f"WITH {GROUPED} SELECT src, dst, round(1 - weight, 6) AS distance FROM e WHERE sg <> dg ORDER BY weight DESC, src, dst LIMIT 20",
+)
+add(
+    "degree_table",
+    lambda s, d: graph.degree_table(graph.edges(items(s, d), clusters(s, d)).filter("rel <> 'IN_CLUSTER'"), graph.entities(items(s, d), clusters(s, d)).filter("entity_type = 'LABEL'"), 3),
+    f"WITH {ITEMS} SELECT {sha_id('label', 'label')} AS entity_id, 'LABEL' AS entity_type, label AS name, count(*) AS degree FROM items GROUP BY label ORDER BY degree DESC, 1 LIMIT 3",
+)
+add(
+    "smallest_clusters",
+    lambda s, d: clusters(s, d).groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n")).orderBy("n", "cluster_id").limit(5),
+    f"WITH {CLUSTERS} SELECT cluster_id, count(*) AS n FROM clusters GROUP BY 1 ORDER BY n, cluster_id LIMIT 5",
+)

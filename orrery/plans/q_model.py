@@ -102,3 +102,4 @@ add(
     lambda s, d: rounded(windowed_counts(table(s, d, "events")), ["total"], 4).withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss")),
     "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2",
 )
+add("file_fingerprints", lambda s, d: registry.file_fingerprints(s, f"{d}/region.parquet").select("size", "sha256", "md5"))

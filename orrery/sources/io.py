@@ -63,11 +63,11 @@ def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; a temporary folder where that is unset (local runs)."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
+    """spark.checkpoint.dir; where that is unset, the context's checkpoint folder, or a temporary one (local runs)."""
+    context = spark.sparkContext
+    where = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not where:
         where = "file://" + tempfile.mkdtemp(prefix="orrery-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(where)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(where)
     return where

@@ -287,3 +287,10 @@ def test_streamed_manifest(spark, tmp_path):
     keep_latest(manifest_stream(spark, str(tmp_path / "m"), 1), str(tmp_path / "state"), str(tmp_path / "check")).awaitTermination()
     last = max(int(p.name) for p in (tmp_path / "state").iterdir())
     assert spark.read.parquet(str(tmp_path / "state" / str(last))).count() == 2
+
+
+def test_plot_index(spark, tmp_path):
+    path = str(tmp_path / "plots")
+    a = registry.add_plot(spark, path, "s", "t", "/p.png", ["x"])
+    assert registry.add_plot(spark, path, "s", "t", "/p.png", is_core=True) == a
+    assert registry.plots(spark, path).count() == 1
