@@ -76,12 +76,9 @@ def oral(label: Column, grade: Column) -> Column:
 
 
 def nine_classes(label: Column, grade: Column) -> Column:
-    code = canonical_class(label)
-    out = None
-    for name, levels in CLASS_LEVELS.items():
-        value = _levels(*[grade if x is None else x for x in levels])
-        out = F.when(code == name, value) if out is None else out.when(code == name, value)
-    return out
+    """The levels by class, from one constant map; a missing level is the grade."""
+    table = F.create_map(*[x for name, levels in CLASS_LEVELS.items() for x in (F.lit(name), F.array(*[F.lit(v) for v in levels]))])
+    return F.transform(F.element_at(table, canonical_class(label)), lambda v: F.coalesce(v, grade))
 
 
 def with_levels(df: DataFrame, dataset_col: str = "dataset_key", label_col: str = "label", raw_col: str = "raw_label", id_col: str = "item_id") -> DataFrame:
