@@ -101,7 +101,7 @@ def pair_blocks(starts: np.ndarray, chunk: np.ndarray, split: np.ndarray, most:
 
 
 def candidates(units: DataFrame, band: int, bands: int, step: int, threshold: float, tolerance: float) -> DataFrame:
-    """(bucket, i, j, node, n, weight, partners): the members of each unit that have a pair left, with the partners (nodes) of a member's pairs.
+    """(bucket, i, j, node, weight, partners): the members of each unit that have a pair left, with the partners (nodes) of a member's pairs.
 
     units: bucket, i, j, chunk, band_no, node, n, weight, values, buckets, all rows of a unit side by side. A pair is looked at in the first band in which
     both members share a bucket, and nowhere else.
