@@ -238,15 +238,41 @@ def components(edge_rows: DataFrame, nodes: DataFrame | None = None, rounds: int
     raise RuntimeError(f"no end after {rounds} rounds")
 
 
-def cycles(edge_rows: DataFrame, longest: int = 6) -> DataFrame:
-    """cycle: the simple directed cycles of at most `longest` edges, each once, from its least node. Longer ones are not looked for."""
+def cyclic_part(edge_rows: DataFrame) -> DataFrame:
+    """The edges without those of nodes that nothing leads to or from, again and again until all have both: no cycle is lost, and none is left of a graph without cycles."""
+    now = edge_rows.checkpoint()
+    left = now.count()
+    while left:
+        both = now.select(F.col("src").alias("node")).intersect(now.select(F.col("dst").alias("node")))
+        now = subgraph(now, both).checkpoint()
+        before, left = left, now.count()
+        if left == before:
+            break
+    return now
+
+
+def cycles(edge_rows: DataFrame, longest: int | None = None) -> DataFrame:
+    """cycle: all simple directed cycles, each once, from its least node; with `longest`, those of at most so many edges.
+
+    Without `longest` paths grow until none is left, checkpointed in spark.checkpoint.dir each step; there can be as many cycles as paths, however they are found.
+    """
     e = simple_edges(edge_rows).filter("src <> dst")
+    if longest is None:
+        from orrery.sources.io import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(edge_rows.sparkSession)
+        e = cyclic_part(e)
     path = e.filter("src < dst").select(F.col("src").alias("start"), F.col("dst").alias("at"), F.array("src", "dst").alias("path"))
     loops = simple_edges(edge_rows).filter("src = dst").select(F.array("src").alias("cycle"))
     found = loops
     step = e.select(F.col("src").alias("at"), F.col("dst").alias("to"))
-    for _ in range(longest - 1):
+    edges_left = longest
+    while (edges_left > 1) if longest is not None else not path.isEmpty():
         on = path.join(step, "at")
+        if longest is None:
+            on = on.checkpoint()
+        else:
+            edges_left -= 1
         found = found.union(on.filter("to = start").select(F.col("path").alias("cycle")))
         path = on.filter("to > start AND NOT array_contains(path, to)").select("start", F.col("to").alias("at"), F.concat("path", F.array("to")).alias("path"))
     return found

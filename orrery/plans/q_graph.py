@@ -141,6 +141,13 @@ add(
     """WITH e AS (SELECT DISTINCT n_nationkey % 4 AS a, (n_nationkey + n_regionkey) % 4 AS b FROM nation) SELECT CAST(a AS VARCHAR) AS cycle FROM e WHERE a = b UNION ALL SELECT x.a || '>' || x.b FROM e x JOIN e y ON y.a = x.b AND y.b = x.a WHERE x.a < x.b
     UNION ALL SELECT x.a || '>' || x.b || '>' || y.b FROM e x JOIN e y ON y.a = x.b JOIN e z ON z.a = y.b AND z.b = x.a WHERE x.a < x.b AND x.a < y.b AND x.b <> y.b""",
 )
+add(
+    "subtype_cycles_whole",
+    lambda s, d: graph.cycles(table(s, d, "nation").select((F.col("n_nationkey") % 4).alias("src"), ((F.col("n_nationkey") + F.col("n_regionkey")) % 4).alias("dst"))).select(F.array_join("cycle", ">").alias("cycle")),
+    """WITH RECURSIVE e AS (SELECT DISTINCT n_nationkey % 4 AS a, (n_nationkey + n_regionkey) % 4 AS b FROM nation), p AS (SELECT a AS s, b AS t, [a, b] AS path FROM e WHERE a < b
+    UNION ALL SELECT p.s, e.b, list_append(path, e.b) FROM p JOIN e ON e.a = p.t WHERE e.b > p.s AND NOT list_contains(path, e.b))
+    SELECT CAST(a AS VARCHAR) AS cycle FROM e WHERE a = b UNION ALL SELECT array_to_string(path, '>') FROM p JOIN e ON e.a = p.t AND e.b = p.s""",
+)
 add("cross_dataset_edges", lambda s, d: neighbours(s, d).join(fused(s, d).select(F.col("item_id").alias("src"), F.col("source").alias("a")), "src").join(fused(s, d).select(F.col("item_id").alias("dst"), F.col("source").alias("b")), "dst").agg(F.count(F.lit(1)).alias("n_edges"), F.round(F.avg((F.col("a") != F.col("b")).cast("double")), 6).alias("cross_ratio")), f"WITH {KNN} SELECT count(*) AS n_edges, round(avg(CASE WHEN a.source <> b.source THEN 1.0 ELSE 0.0 END), 6) AS cross_ratio FROM knn JOIN fused a ON a.item_id = src JOIN fused b ON b.item_id = dst")
 add("item_clusters", lambda s, d: graph.item_clusters(clusters(s, d).filter("cluster_id > 3"), graph.edges(items(s, d), clusters(s, d)), graph.entities(items(s, d), clusters(s, d))), f"WITH {ITEMS}, {CLUSTERS} SELECT item_id, cluster_id FROM clusters")
 add(

@@ -126,6 +126,13 @@ def test_cycles(spark):
     assert sorted(r[0] for r in graph.cycles(e, 4).collect()) == [["a", "b"], ["a", "b", "c"], ["d"]]
 
 
+def test_cycles_of_any_length(spark):
+    ring = [(i, (i + 1) % 8) for i in range(8)]
+    e = frame(spark, [*ring, (0, 4), (9, 0), (7, 10), (10, 11)], "src int, dst int")
+    assert sorted(r[0] for r in graph.cycles(e).collect()) == [[0, 1, 2, 3, 4, 5, 6, 7], [0, 4, 5, 6, 7]]
+    assert graph.cycles(frame(spark, [(0, 1), (1, 2), (0, 2)], "src int, dst int")).collect() == []
+
+
 def test_degree_sum(spark):
     e = frame(spark, [("a", "b"), ("a", "c"), ("b", "c")], "src string, dst string")
     assert graph.degrees(e).agg(F.sum("degree")).first()[0] == 6
