@@ -17,6 +17,8 @@ from orrery.llm.common import WORD, small_batches
 BLOCK_WORDS, MAX_BLOCKS = 4096, 1 << 16
 #: Hash buckets of a source that the prefix sums over its permuted documents run over.
 BUCKETS = 4096
+#: Output shards.
+SHARDS = 8
 #: Sources that may be planned on the driver: a row of a few numbers for each.
 MAX_SOURCES = 1_000_000
 #: Sources whose plan may be broadcast: some 200 bytes and 8 bytes a shard for each.
@@ -106,7 +108,7 @@ def mix_pieces(
     docs: DataFrame,
     weights: tuple[float, ...] = (1, 2, 3),
     most: float = 3,
-    shards: int = 8,
+    shards: int = SHARDS,
     seed: int = 11,
     block_words: int = BLOCK_WORDS,
 ) -> tuple[DataFrame, DataFrame]:
@@ -183,33 +185,51 @@ def mix_pieces(
 
 
 def mix_counts(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, size, source_size, target, taken (words that the mix takes, repeats counted) and first_shard of each document; see mix_pieces.
+    """doc_id, size, source_size, target, taken (words that the mix takes, repeats counted), first_shard and shard_words of each document; see mix_pieces.
 
-    Rows that are equal in id and text share what their pieces take evenly, the first rows getting the remainder.
+    shard_words: (out_shard, n_words) of the shards that take words of the document, in their order; null where none does.
+    Rows that are equal in id and text share what their pieces take evenly, the first rows getting the remainder: their
+    words in the order of shards are dealt to the rows in turn.
     """
     known, pieces = mix_pieces(docs, **options)
-    took = pieces.groupBy("doc_id", "source", "__h").agg(F.sum("n_words").alias("__taken"), F.min("out_shard").alias("first_shard"))
-    t = took.select(F.col("doc_id").alias("__i"), F.col("source").alias("__s"), F.col("__h").alias("__g"), "__taken", "first_shard")
+    per_shard = pieces.groupBy("doc_id", "source", "__h", "out_shard").agg(F.sum("n_words").alias("n_words"))
+    took = per_shard.groupBy("doc_id", "source", "__h").agg(F.sum("n_words").alias("__taken"), F.sort_array(F.collect_list(F.struct("out_shard", "n_words"))).alias("__shards"))
+    t = took.select(F.col("doc_id").alias("__i"), F.col("source").alias("__s"), F.col("__h").alias("__g"), "__taken", "__shards")
     slim = known.select("doc_id", "source", "size", "source_size", "target", "__h")
     alike = Window.partitionBy("doc_id", "source", "__h")
     slim = slim.withColumns({"__copies": F.count(F.lit(1)).over(alike), "__nth": F.row_number().over(alike.orderBy("size"))})
     joined = slim.join(t, slim["doc_id"].eqNullSafe(t["__i"]) & slim["source"].eqNullSafe(t["__s"]) & (slim["__h"] == t["__g"]), "left")
     share = F.expr("__taken div __copies + if(__nth <= __taken % __copies, 1, 0)")
-    return joined.select("doc_id", "size", "source_size", "target", F.coalesce(share, F.lit(0)).cast("long").alias("taken"), "first_shard")
+    dealt = lambda upto: f"({upto} div __copies + if(__nth <= {upto} % __copies, 1, 0))"
+    # the words of the shards before each one, and up to it
+    before = "aggregate(slice(__shards, 1, i), 0L, (a, y) -> a + y.n_words)"
+    own = F.expr(f"transform(__shards, (x, i) -> named_struct('out_shard', x.out_shard, 'n_words', {dealt(f'({before} + x.n_words)')} - {dealt(before)}))")
+    joined = joined.withColumn("shard_words", F.filter(own, lambda x: x["n_words"] > 0))
+    joined = joined.withColumn("shard_words", F.when(F.size("shard_words") > 0, F.col("shard_words")))
+    return joined.select("doc_id", "size", "source_size", "target", F.coalesce(share, F.lit(0)).cast("long").alias("taken"), F.col("shard_words")[0]["out_shard"].alias("first_shard"), "shard_words")
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself, in the columns of docs: each round's part of a document is a row, with the text of the words taken.
+    """mixed_shards in the columns of docs, in the same partitions and order."""
+    return mixed_shards(docs, **options).select(*[F.col("__row").getField(c).alias(c) for c in docs.columns])
 
-    Pieces that meet in a round are one row. A whole document keeps its text as it is; a part runs from its first
+
+def mixed_shards(docs: DataFrame, **options) -> DataFrame:
+    """The mix itself: out_shard, place, and __row in the columns of docs, with the text of the words taken; each round's part of a document in a shard is a row.
+
+    Partitions hold the shards one after the other, each in the order of place: written, the files in the order of
+    their names are the shards in turn, shuffled. A shard has as many partitions as spark.sql.shuffle.partitions allows it, by ranges of place.
+
+    Pieces that meet in a round and shard are one row. A whole document keeps its text as it is; a part runs from its first
     word to its last one. n_chars, where docs has it, is that of the new text.
     """
     small_batches(docs.sparkSession)
     columns = docs.columns
+    shards = options.get("shards", SHARDS)
     packed = docs.select("doc_id", "text", "source", F.struct("*").alias("__row"))  # whatever docs' columns are called
     known, pieces = mix_pieces(packed, **options)
-    runs = pieces.groupBy("doc_id", "source", "__h", "__at", "round").agg(F.sort_array(F.collect_list(F.struct("from_word", "n_words"))).alias("__parts"))
-    per_doc = runs.groupBy("doc_id", "source", "__h").agg(F.sort_array(F.collect_list(F.struct("__at", "round", "__parts"))).alias("__rounds"))
+    runs = pieces.groupBy("doc_id", "source", "__h", "__at", "round", "out_shard", "place").agg(F.sort_array(F.collect_list(F.struct("from_word", "n_words"))).alias("__parts"))
+    per_doc = runs.groupBy("doc_id", "source", "__h").agg(F.sort_array(F.collect_list(F.struct("__at", "round", "out_shard", "place", "__parts"))).alias("__rounds"))
     # rows equal in id and text stand side by side in the line; the nth of them takes the nth place's rounds
     alike = Window.partitionBy("doc_id", "source", "__h").orderBy("size")
     rows = known.withColumn("__nth", F.row_number().over(alike))
@@ -218,13 +238,14 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     places = F.array_sort(F.array_distinct(F.transform("__rounds", lambda x: x["__at"])))
     rows = rows.withColumn("__place", F.try_element_at(places, F.col("__nth")))
     rows = rows.withColumn("__piece", F.explode(F.filter("__rounds", lambda x: x["__at"] == F.col("__place"))))
-    rows = rows.select("__row", "text", "size", F.col("__piece.__parts").alias("__parts"))
-    schema = T.StructType([rows.schema["__row"], T.StructField("__text", T.StringType())])
+    rows = rows.select("__row", "text", "size", F.col("__piece.__parts").alias("__parts"), F.col("__piece.out_shard").alias("out_shard"), F.col("__piece.place").alias("place"))
+    schema = T.StructType([rows.schema["__row"], T.StructField("__text", T.StringType()), rows.schema["out_shard"], rows.schema["place"], T.StructField("__from", T.LongType())])
 
     def cut(batches):
         for batch in batches:
             at: list[int] = []
             texts: list[str] = []
+            begins: list[int] = []
             for i, (text, size, parts) in enumerate(zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True)):
                 spans: list[list[int]] = []
                 for p in parts:
@@ -240,7 +261,13 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
                     made = [text[word[lo][0] : word[hi - 1][1]] for lo, hi in spans]
                 at += [i] * len(made)
                 texts += made
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(texts, pa.string())], names=["__row", "__text"])
+                begins += [lo for lo, _ in spans]
+            take = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), pa.array(texts, pa.string()), batch.column(4).take(take), batch.column(5).take(take), pa.array(begins, pa.int64())], names=schema.names)
 
     new = {"text": F.col("__text"), "n_chars": F.char_length("__text").cast("long")}
-    return rows.mapInArrow(cut, schema).select(*[new[c].alias(c) if c in new else F.col("__row").getField(c).alias(c) for c in columns])
+    made = rows.mapInArrow(cut, schema)
+    each = max(1, -(-int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // shards))
+    made = made.repartitionById(shards * each, F.expr(f"int(out_shard * {each} + shiftright((shiftright(place, 32) + 2147483648L) * {each}, 32))"))
+    made = made.sortWithinPartitions("out_shard", "place", "__from")
+    return made.select("out_shard", "place", F.struct(*[new[c].alias(c) if c in new else F.col("__row").getField(c).alias(c) for c in columns]).alias("__row"))

@@ -37,7 +37,7 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_counts(table(spark, sf_dir, "documents")).drop("first_shard")
+    return mix_counts(table(spark, sf_dir, "documents"))
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -77,3 +77,49 @@ def test_equal_rows_null_ids_and_empty_tables(spark, documents):
     got = mx.mix_counts(docs).collect()
     assert len(got) == 5 and sum(r["taken"] for r in got) == 10
     assert mx.mix_counts(docs.limit(0)).collect() == [] and mx.mixed_documents(docs.limit(0)).collect() == []
+
+
+def test_shards_hold_their_quotas_in_shuffled_order(spark, documents):
+    docs = table(documents, 3)
+    sizes = Counter()
+    for r in mx.mix_counts(docs, block_words=64).collect():
+        sizes[r["doc_id"]] = r["size"]
+    source = {r["doc_id"]: r["source"] for r in docs.collect()}
+    total = Counter()
+    for i, n in sizes.items():
+        total[source[i]] += n
+    plan = mx.plan(list(total.items()), (1, 2, 3), 3, 8, 11, 64)
+    quota = mx.split(np.array([p["draws"] for p in plan]), 8, 11)
+    _, pieces = mx.mix_pieces(docs, block_words=64)
+    drawn = defaultdict(set)
+    words = Counter()
+    for p in pieces.collect():
+        drawn[p["source"], p["out_shard"]].add((p["round"], p["block"]))
+        words[p["doc_id"], p["out_shard"]] += p["n_words"]
+    for p, want in zip(plan, quota):
+        got = [len(drawn[p["source"], k]) for k in range(8)]
+        # the cut can leave nothing of the last block
+        assert sum(want) - sum(got) <= 1 and all(w - 1 <= g <= w for g, w in zip(got, want))
+    counted = Counter()
+    for r in mx.mix_counts(docs, block_words=64).collect():
+        assert sum(x["n_words"] for x in r["shard_words"] or []) == r["taken"]
+        for x in r["shard_words"] or []:
+            counted[r["doc_id"], x["out_shard"]] += x["n_words"]
+    assert counted == words
+    mixed = mx.mixed_shards(docs, block_words=64)
+    rows = mixed.collect()
+    order = [(r["out_shard"], r["place"]) for r in rows]
+    assert order == sorted(order) and len({k for k, _ in order}) == 8
+    of_mix = Counter()
+    for r in rows:
+        of_mix[r["__row"]["doc_id"], r["out_shard"]] += len(WORD.findall(r["__row"]["text"]))
+    assert of_mix == words
+    assert [tuple(r) for r in mx.mixed_documents(docs, block_words=64).collect()] == [tuple(r["__row"]) for r in rows]
+    assert [r["__row"]["doc_id"] for r in rows] != sorted(r["__row"]["doc_id"] for r in rows)
+
+
+def test_copies_share_the_words_of_shards(spark, documents):
+    docs = documents([(1, "w " * 500)] * 3 + [(2, "v " * 700)], source=["s"] * 4)
+    got = mx.mix_counts(docs, block_words=16, weights=(1,)).collect()
+    assert all(sum(x["n_words"] for x in r["shard_words"]) == r["taken"] for r in got)
+    assert len({x["out_shard"] for r in got for x in r["shard_words"]}) == 8
