@@ -167,6 +167,16 @@ add(
     SELECT s, '<http://www.w3.org/1999/02/22-rdf-syntax-ns#type>' AS p, '<http://example.org/histo/' || t || '>' AS o FROM n UNION SELECT s, '<http://example.org/histo/name>', '"' || name || '"' FROM n UNION SELECT s, '<http://example.org/histo/description>', '"' || dsc || '"' FROM n
     UNION SELECT s, '<http://example.org/histo/' || r || '>', o FROM e UNION SELECT s, '<http://example.org/histo/weight>', '"1.0"^^<http://www.w3.org/2001/XMLSchema#double>' FROM e""",
 )
+add("export_nodes_whole", lambda s, d: export.node_rows(graph.entities(items(s, d), clusters(s, d))), f"WITH {ITEMS}, {CLUSTERS}, {NODES} SELECT entity_id AS \":ID\", entity_type AS \":LABEL\", coalesce(name, '') AS name, coalesce(description, '') AS description FROM nodes")
+QUOTED = lambda c: f"""'"' || replace(replace(replace(replace(coalesce({c}, ''), '\\', '\\\\'), '"', '\\"'), chr(10), '\\n'), chr(13), '\\r') || '"'"""
+add(
+    "export_triples_whole",
+    lambda s, d: export.triples(graph.entities(items(s, d), clusters(s, d)), graph.edges(items(s, d), clusters(s, d))),
+    f"""WITH {ITEMS}, {CLUSTERS}, {NODES}, {EDGES}, n AS (SELECT '<http://example.org/histo/' || entity_id || '>' AS s, CASE entity_type WHEN 'ITEM' THEN 'PATCH' WHEN 'CLUSTER' THEN 'FEATURE' ELSE entity_type END AS t, name, description FROM nodes),
+    e AS (SELECT '<http://example.org/histo/' || src || '>' AS s, CASE rel WHEN 'IN_CLUSTER' THEN 'HAS_FEATURE' ELSE rel END AS r, '<http://example.org/histo/' || dst || '>' AS o FROM field_edges)
+    SELECT s, '<http://www.w3.org/1999/02/22-rdf-syntax-ns#type>' AS p, '<http://example.org/histo/' || t || '>' AS o FROM n UNION SELECT s, '<http://example.org/histo/name>', {QUOTED('name')} FROM n UNION SELECT s, '<http://example.org/histo/description>', {QUOTED('description')} FROM n
+    UNION SELECT s, '<http://example.org/histo/' || r || '>', o FROM e UNION SELECT s, '<http://example.org/histo/weight>', '"1.0"^^<http://www.w3.org/2001/XMLSchema#double>' FROM e""",
+)
 add("export_metadata", lambda s, d: items(s, d).select("item_id", export.metadata(items(s, d), ["source", "quality", "absent"]).alias("m")).select("item_id", export.promote(F.col("m"), ["nothing", "source"]).alias("source"), F.get_json_object("m", "$.quality").cast("int").alias("quality")), f"WITH {ITEMS} SELECT item_id, source, quality FROM items")
 LEVELS = "CASE WHEN contains(t, 'background') OR contains(t, 'empty') OR contains(t, 'glass') THEN 'BACK' WHEN contains(t, 'adipose') OR contains(t, 'fat') THEN 'ADI' WHEN contains(t, 'debris') OR contains(t, 'necros') OR contains(t, 'detrit') OR contains(t, 'dirt') THEN 'DEB' WHEN contains(t, 'lymph') OR contains(t, 'immune') THEN 'LYM' WHEN contains(t, 'mucus') OR contains(t, 'mucin') THEN 'MUC' WHEN contains(t, 'muscle') OR contains(t, 'muscular') THEN 'MUS' WHEN contains(t, 'stroma') OR contains(t, 'fibro') OR contains(t, 'connective') THEN 'STR' WHEN contains(t, 'normal mucosa') OR contains(t, 'normal colon') OR (contains(t, 'normal') AND contains(t, 'mucosa')) THEN 'NORM' WHEN contains(t, 'tumor') OR contains(t, 'adenocarcinoma') THEN 'TUM' WHEN starts_with(t, 'norm') THEN 'NORM' WHEN contains(t, 'carcinoma') THEN 'TUM' WHEN contains(t, 'no tissue') THEN 'BACK' WHEN contains(t, 'strom') THEN 'STR' ELSE 'NORM' END"
 WORDS = ["adipose tissue", "lymphocytes", "colorectal adenocarcinoma", "smooth muscle", "debris", "normal mucosa", "empty slide"]

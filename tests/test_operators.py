@@ -301,3 +301,23 @@ def test_plot_index(spark, tmp_path):
     a = registry.add_plot(spark, path, "s", "t", "/p.png", ["x"])
     assert registry.add_plot(spark, path, "s", "t", "/p.png", is_core=True) == a
     assert registry.plots(spark, path).count() == 1
+
+
+def test_exports_hold_whole_texts(spark, tmp_path):
+    import duckdb
+
+    from orrery.plans import catalog
+
+    texts = ['a "b" \\ c', "two\nlines\r\nand $1 \\n", None, "", "größer 😀\t" + "long, " * 20_000]
+    frame(spark, [(i, t, "en", f"src{i % 2}", 1) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    frame(spark, [(0, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    con = duckdb.connect()
+    for t in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    for name in ("export_nodes_whole", "export_triples_whole"):
+        result = con.execute(catalog.oracle_sql()[name])
+        columns = [c[0] for c in result.description]
+        got = [tuple(r[c] for c in columns) for r in catalog.queries()[name](spark, str(tmp_path)).collect()]
+        assert sorted(got) == sorted(result.fetchall())
+    nodes = catalog.queries()["export_nodes_whole"](spark, str(tmp_path)).filter("`:LABEL` = 'ITEM'")
+    assert {r["name"]: r["description"] for r in nodes.collect()} == {str(i): t or "" for i, t in enumerate(texts)}
