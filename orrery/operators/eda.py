@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window
@@ -176,3 +177,18 @@ def payload(name: str, spec: dict, result: DataFrame) -> DataFrame:
     rows = result.agg(F.collect_list(F.struct(*result.columns)).alias("result"))
     spec_text = F.create_map(*[x for k, v in spec.items() for x in (F.lit(str(k)), F.lit(str(v)))])
     return rows.select(F.to_json(F.struct(F.lit(name).alias("name"), spec_text.alias("spec"), "result")).alias("value"))
+
+
+def evaluated(items: list[dict], tables: dict[str, DataFrame], include: set[str] | None = None, functions: dict[str, Callable[..., DataFrame]] | None = None) -> list[tuple[str, str, int, str]]:
+    """(name, status, number of columns, JSON) for each item of the catalog, run to its end: the payload where it is ok, else the reason. What fails on execution is an error too."""
+    specs = {item["name"]: item for item in items}
+    out: list[tuple[str, str, int, str]] = []
+    for name, status, result in run_catalog(items, tables, include, functions):
+        if status == "ok":
+            try:
+                out.append((name, status, len(result.columns), payload(name, {k: v for k, v in specs[name].items() if k != "name"}, result).first()[0]))
+                continue
+            except Exception as error:  # one item's failure is its result
+                status, result = "error", f"{type(error).__name__}: {error}"
+        out.append((name, status, 0, json.dumps({"name": name, "reason": result})))
+    return out

@@ -203,7 +203,7 @@ add("simple_sample", lambda s, d: sampling.sample(items(s, d), "item_id", 64).se
 
 
 def catalog_status(s, d):
-    """The whole catalog over stand-in tables: name, fn, status, rows."""
+    """The whole catalog over stand-in tables, each item run: name, status, n_columns, result (JSON)."""
     from orrery.plans import eda_catalog as ec
 
     measures = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -211,8 +211,7 @@ def catalog_status(s, d):
     morph = line.select(F.col("l_returnflag").alias("label"), *[F.col(measures[i % 4]).alias(c) for i, c in enumerate(ec.FEATURES)])
     vectors = fused(s, d).select("item_id", "vector", F.size("vector").cast("long").alias("dim"))
     tables = {"morph": morph, "items": items(s, d), "clusters": clusters(s, d), "members": fused(s, d), **{f"emb_{m}": vectors for m in ec.MODALITIES}}
-    out = eda.run_catalog(ec.items(), tables, functions=ec.FUNCTIONS)
-    return s.createDataFrame([(n, status, len(r.columns) if status == "ok" else 0) for n, status, r in out], "name string, status string, n_columns int")
+    return s.createDataFrame(eda.evaluated(ec.items(), tables, functions=ec.FUNCTIONS), "name string, status string, n_columns int, result string")
 
 
 add("eda_catalog", catalog_status)

@@ -303,6 +303,17 @@ def test_plot_index(spark, tmp_path):
     assert registry.plots(spark, path).count() == 1
 
 
+def test_catalog_items_are_run(spark):
+    import json
+
+    items = frame(spark, [("a", "x"), ("b", "x")], "item_id string, label string")
+    boom = lambda items: items.select(F.raise_error(F.lit("boom")).cast("string").alias("x"))
+    spec = [{"name": "good", "fn": "label_distribution", "inputs": {"items": "items"}}, {"name": "bad", "fn": "boom", "inputs": {"items": "items"}}, {"name": "none", "fn": "nothing"}]
+    out = {n: (status, json.loads(text)) for n, status, _, text in eda.evaluated(spec, {"items": items}, functions=eda.FUNCTIONS | {"boom": boom})}
+    assert out["good"][0] == "ok" and out["good"][1]["result"] == [{"value": "x", "n": 2}]
+    assert out["bad"][0] == "error" and "boom" in out["bad"][1]["reason"] and out["none"][0] == "skipped"
+
+
 def test_exports_hold_whole_texts(spark, tmp_path):
     import duckdb
 
