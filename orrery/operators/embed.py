@@ -146,13 +146,22 @@ def align_groups(rows: DataFrame, group_col: str, least: int = 10) -> DataFrame:
     return out.withColumn("vector", unit(F.when(F.col("own").isNull(), doubles("vector")).otherwise(moved))).drop("own", "all")
 
 
+def numbered_by_hash(rows: DataFrame, seed: int, bits: int = 12) -> DataFrame:
+    """v, i: the vectors numbered from 0 without gaps in the order of a hash of item_id, in windows over 2^bits ranges of the hash; equal ids by vector."""
+    h = F.xxhash64("item_id", F.lit(seed))
+    ranged = rows.select("item_id", doubles("vector").alias("v"), h.alias("__h"), F.shiftright(h, 64 - bits).alias("__range"))
+    sizes = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("n"))
+    # one row for each range
+    ahead = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__range", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("__offset"))
+    within = F.row_number().over(Window.partitionBy("__range").orderBy("__h", "item_id", "v"))
+    return ranged.withColumn("__k", within).join(F.broadcast(offsets), "__range").select("v", (F.col("__k") - 1 + F.col("__offset")).alias("i"))
+
+
 def pair_cosine_stats(rows: DataFrame, pairs: int = 2000, seed: int = 1337) -> DataFrame:
     """One row over the cosines of about `pairs` pairs: each row meets partners at hash-chosen distances in the order of a hash, so no pair is computed but those."""
     n = rows.count()
-    numbered = rows.select(doubles("vector").alias("v"), (F.row_number().over(Window.orderBy(F.xxhash64("item_id", F.lit(seed)), "item_id")) - 1).alias("i")) if n < 2_000_000 else None
-    if numbered is None:  # a window over all rows is for small tables; larger ones meet in buckets
-        bucketed = rows.select(doubles("vector").alias("v"), F.pmod(F.xxhash64("item_id", F.lit(seed)), F.lit(n)).alias("i"))
-        numbered = bucketed.dropDuplicates(["i"])
+    numbered = numbered_by_hash(rows, seed)
     each = max(1, -(-pairs // max(1, n)))
     take = min(n, pairs)
     left = numbered.filter(F.col("i") < take).select("i", F.col("v").alias("a"), F.explode(F.sequence(F.lit(1), F.lit(each))).alias("step"))

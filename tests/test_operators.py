@@ -314,6 +314,21 @@ def test_catalog_items_are_run(spark):
     assert out["bad"][0] == "error" and "boom" in out["bad"][1]["reason"] and out["none"][0] == "skipped"
 
 
+def test_rows_are_numbered_without_gaps(spark):
+    rows = frame(spark, [(str(i % 900), [float(i), 1.0]) for i in range(1000)], "item_id string, vector array<double>")
+    got = [tuple(r) for r in embed.numbered_by_hash(rows, 1337, 3).orderBy("i").collect()]
+    assert [i for _, i in got] == list(range(1000))
+    want = rows.orderBy(F.xxhash64("item_id", F.lit(1337)), "item_id", "vector").collect()
+    assert [v for v, _ in got] == [r["vector"] for r in want]
+    assert got == [tuple(r) for r in embed.numbered_by_hash(rows.repartition(7), 1337, 12).orderBy("i").collect()]
+
+
+def test_sampled_pairs_of_many_rows(spark):
+    n = 2_000_000
+    rows = spark.range(n).select(F.col("id").cast("string").alias("item_id"), F.array((F.col("id") % 97).cast("double"), F.lit(1.0)).alias("vector"))
+    assert embed.pair_cosine_stats(rows).first()["pairs"] == 2000
+
+
 def test_exports_hold_whole_texts(spark, tmp_path):
     import duckdb
 
