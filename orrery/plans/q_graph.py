@@ -135,6 +135,12 @@ add(
     f"""WITH {REGION}, ends AS (SELECT src AS node FROM edges UNION ALL SELECT dst FROM edges), deg AS (SELECT node, count(*) AS g FROM ends GROUP BY 1 UNION ALL SELECT 'p' || p_partkey, 0 FROM part WHERE p_partkey <= 3), z AS (SELECT region, count(*) AS n FROM member GROUP BY 1)
     SELECT count(*) AS n_nodes, CAST(sum(CASE WHEN g = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_orphans, min(g) AS degree_min, max(g) AS degree_max, round(avg(g), 6) AS degree_mean, round(quantile_cont(g, 0.99), 6) AS degree_p99, (SELECT count(*) FROM z) + (SELECT count(*) FROM part WHERE p_partkey <= 3) AS n_components, (SELECT max(n) FROM z) AS largest_component, (SELECT count(*) FROM edges) AS n_edges FROM deg""",
 )
+add(
+    "graph_health_whole",
+    lambda s, d: rounded(graph.health(tree(s, d), table(s, d, "part").select(F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("node"))), ["degree_mean", "degree_p99"]),
+    f"""WITH {REGION}, ends AS (SELECT src AS node FROM edges UNION ALL SELECT dst FROM edges), deg AS (SELECT node, count(*) AS g FROM ends GROUP BY 1 UNION ALL SELECT 'p' || p_partkey, 0 FROM part), z AS (SELECT region, count(*) AS n FROM member GROUP BY 1)
+    SELECT count(*) AS n_nodes, CAST(sum(CASE WHEN g = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_orphans, min(g) AS degree_min, max(g) AS degree_max, round(avg(g), 6) AS degree_mean, round(quantile_cont(g, 0.99), 6) AS degree_p99, (SELECT count(*) FROM z) + (SELECT count(*) FROM part) AS n_components, (SELECT max(n) FROM z) AS largest_component, (SELECT count(*) FROM edges) AS n_edges FROM deg""",
+)
 add(
     "subtype_cycles",
     lambda s, d: graph.cycles(table(s, d, "nation").select((F.col("n_nationkey") % 4).alias("src"), ((F.col("n_nationkey") + F.col("n_regionkey")) % 4).alias("dst")), 3).select(F.array_join("cycle", ">").alias("cycle")),

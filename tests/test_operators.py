@@ -329,6 +329,14 @@ def test_sampled_pairs_of_many_rows(spark):
     assert embed.pair_cosine_stats(rows).first()["pairs"] == 2000
 
 
+def test_health_counts_every_part(spark):
+    from orrery.plans import catalog
+
+    data = "/root/testdata/sf0.001"
+    parts = spark.read.parquet(f"{data}/part.parquet").count()
+    assert catalog.queries()["graph_health_whole"](spark, data).first()["n_orphans"] == parts > 3
+
+
 def test_exports_hold_whole_texts(spark, tmp_path):
     import duckdb
 
