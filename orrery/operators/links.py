@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orrery.functions.vectors import cosine, doubles, jaccard
+from orrery.functions.vectors import cosine, doubles, jaccard, unit
 
 #: Allowed relations, and the similarity below (above, for unrelated) which each is contradicted.
 RELATIONS = ("same_as", "subtype_of", "overlaps_with", "related_to", "unrelated")
@@ -38,6 +38,80 @@ def cross_similarity(links: DataFrame, items: DataFrame, sample: int = 50, seed:
     return out.select(*keys, "pairs", "min", "max", "mean", "std", *[F.col("q")[i].alias(n) for i, n in enumerate(("p05", "p50", "p95"))])
 
 
+def all_cross_similarity(links: DataFrame, items: DataFrame, block_rows: int = 1024, bins: int = 4096) -> DataFrame:
+    """cross_similarity over all pairs of items of either cluster, exactly: clusters of links in blocks, each pair of blocks one matrix product.
+
+    The first pass leaves counts and sums in bins of the cosine; ranks say in which bins the percentiles lie, and the second pass leaves
+    the distinct values of those bins with their counts. Null vectors are in no pair.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    from orrery.llm.common import small_batches
+    from orrery.sources.io import ensure_checkpoint_dir
+
+    small_batches(items.sparkSession)
+    ensure_checkpoint_dir(items.sparkSession)
+    keys = ["src_cluster_id", "dst_cluster_id"]
+    kind = items.schema["cluster_id"].dataType.simpleString()
+    links = links.select(*[F.col(k).cast(kind).alias(k) for k in keys]).distinct()
+    sizes = items.groupBy("cluster_id").agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("__n"))
+    ready = items.filter("vector IS NOT NULL").select("cluster_id", "item_id", unit(doubles("vector")).alias("v")).join(sizes, "cluster_id").withColumn("block", F.pmod(F.xxhash64("item_id"), F.col("__n")))
+    packed = ready.groupBy("cluster_id", "block").agg(F.transform(F.sort_array(F.collect_list(F.struct("item_id", "v"))), lambda x: x["v"]).alias("m")).checkpoint()
+    a = packed.select(F.col("cluster_id").alias(keys[0]), F.col("m").alias("a"))
+    b = packed.select(F.col("cluster_id").alias(keys[1]), F.col("m").alias("b"))
+
+    def cosines(batch, r):
+        x, y = (np.stack([np.asarray(v) for v in batch.column(batch.schema.get_field_index(c))[r].as_py()]) for c in "ab")
+        sim = np.clip(np.round(x @ y.T, 12).ravel(), -1, 1) + 0.0
+        return sim, np.minimum(((sim + 1) * (bins / 2)).astype(np.int64), bins - 1)
+
+    def rows_of(batch, r, columns, names):
+        own = [batch.column(batch.schema.get_field_index(k)).take(pa.array([r] * len(columns[0]))) for k in keys]
+        return pa.RecordBatch.from_arrays([*own, *(pa.array(c) for c in columns)], names=[*keys, *names])
+
+    def counted(batches):
+        for batch in batches:
+            for r in range(batch.num_rows):
+                sim, at = cosines(batch, r)
+                there, inverse, n = np.unique(at, return_inverse=True, return_counts=True)
+                low, high = np.full(len(there), 2.0), np.full(len(there), -2.0)
+                np.minimum.at(low, inverse, sim)
+                np.maximum.at(high, inverse, sim)
+                yield rows_of(batch, r, [there, n, np.bincount(inverse, sim), np.bincount(inverse, sim * sim), low, high], ["bin", "n", "s", "q", "low", "high"])
+
+    def within(batches):
+        for batch in batches:
+            for r in range(batch.num_rows):
+                sim, at = cosines(batch, r)
+                chosen = sim[np.isin(at, batch.column(batch.schema.get_field_index("bins"))[r].as_py())]
+                value, n = np.unique(chosen, return_counts=True)
+                yield rows_of(batch, r, [value, n], ["value", "n"])
+
+    head = f"src_cluster_id {kind}, dst_cluster_id {kind}"
+    pairs = links.join(a, keys[0]).join(b, keys[1])
+    per = pairs.mapInArrow(counted, f"{head}, bin long, n long, s double, q double, low double, high double").groupBy(*keys, "bin")
+    per = per.agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"), F.min("low").alias("low"), F.max("high").alias("high")).checkpoint()
+    total = per.groupBy(*keys).agg(F.sum("n").alias("pairs"), F.min("low").alias("min"), F.max("high").alias("max"), (F.sum("s") / F.sum("n")).alias("mean"), (F.sum("q") / F.sum("n")).alias("__q"))
+    shares = (("p05", 0.05), ("p50", 0.5), ("p95", 0.95))
+    ranks = total.select(*keys, F.explode(F.array(*[F.struct(F.lit(n).alias("name"), (F.col("pairs") - 1).cast("double").alias("last"), F.lit(q).alias("share")) for n, q in shares])).alias("w")).select(*keys, "w.name", (F.col("w.last") * F.col("w.share")).alias("at"))
+    ranks = ranks.withColumn("rank", F.explode(F.array_distinct(F.array(F.floor("at"), F.ceil("at")))))
+    line = Window.partitionBy(*keys).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    placed = per.select(*keys, "bin", F.col("n").alias("__n"), F.coalesce(F.sum("n").over(line), F.lit(0)).alias("ahead"))
+    ranks = ranks.join(placed, keys).filter("rank >= ahead AND rank < ahead + __n").checkpoint()
+    needed = ranks.groupBy(*keys).agg(F.array_sort(F.collect_set("bin")).alias("bins"))
+    values = pairs.join(needed, keys).mapInArrow(within, f"{head}, value double, n long").groupBy(*keys, "value").agg(F.sum("n").alias("n"))
+    values = values.withColumn("bin", F.least(F.floor((F.col("value") + 1) * (bins / 2)), F.lit(bins - 1)))
+    inside = Window.partitionBy(*keys, "bin").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    values = values.withColumn("before", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    met = ranks.join(values, [*keys, "bin"]).filter("rank - ahead >= before AND rank - ahead < before + n")
+    low, high = F.min_by("value", "rank"), F.max_by("value", "rank")
+    found = met.groupBy(*keys, "name").agg((low + (high - low) * (F.first("at") - F.floor(F.first("at")))).alias("x"))
+    found = found.groupBy(*keys).agg(*[F.max(F.when(F.col("name") == n, F.col("x"))).alias(n) for n, _ in shares])
+    std = F.sqrt(F.greatest(F.lit(0.0), F.col("__q") - F.col("mean") * F.col("mean"))).alias("std")
+    return total.join(found, keys).select(*keys, "pairs", "min", "max", "mean", std, *[n for n, _ in shares])
+
+
 def evidence(links: DataFrame, items: DataFrame, centroids: DataFrame | None = None, dataset_col: str = "source", label_col: str = "label") -> DataFrame:
     """links with relationship, confidence, centroid_similarity, dataset_overlap_jaccard, label_overlap_jaccard. Two empty sets overlap fully."""
     out = links.withColumns({"relationship": F.lower(F.trim(F.coalesce("relationship", F.lit("related_to")))), "confidence": F.coalesce(F.col("confidence").try_cast("double"), F.lit(0.0)), "centroid_similarity": F.col("similarity").try_cast("double")})

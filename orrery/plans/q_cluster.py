@@ -182,7 +182,7 @@ add(
     lambda s, d: links.with_review(made_links(s, d), links.review_template(made_links(s, d)).withColumn("human_relationship", F.when(F.col("src_cluster_id") == 1, " Same_As ").otherwise(""))).select("src_cluster_id", "dst_cluster_id", "relationship"),
     f"WITH {PAIRS} SELECT src_cluster_id, dst_cluster_id, CASE WHEN src_cluster_id = 1 THEN 'same_as' ELSE relationship END AS relationship FROM links",
 )
-add("cross_similarity", lambda s, d: rounded(links.cross_similarity(made_links(s, d), fused(s, d), 1000), ["min", "max", "mean", "std", "p05", "p50", "p95"]), f"""WITH {PAIRS}, x AS (SELECT src_cluster_id, dst_cluster_id, list_cosine_similarity(a.vector, b.vector) AS x FROM links JOIN fused a ON a.cluster_id = src_cluster_id JOIN fused b ON b.cluster_id = dst_cluster_id)
+add("cross_similarity", lambda s, d: rounded(links.all_cross_similarity(made_links(s, d), fused(s, d)), ["min", "max", "mean", "std", "p05", "p50", "p95"]), f"""WITH {PAIRS}, x AS (SELECT src_cluster_id, dst_cluster_id, list_cosine_similarity(a.vector, b.vector) AS x FROM links JOIN fused a ON a.cluster_id = src_cluster_id JOIN fused b ON b.cluster_id = dst_cluster_id)
     SELECT src_cluster_id, dst_cluster_id, count(*) AS pairs, round(min(x), 6) AS min, round(max(x), 6) AS max, round(avg(x), 6) AS mean, round(stddev_pop(x), 6) AS std, round(quantile_cont(x, 0.05), 6) AS p05, round(quantile_cont(x, 0.5), 6) AS p50, round(quantile_cont(x, 0.95), 6) AS p95 FROM x GROUP BY ALL""")
 add("unique_names", lambda s, d: links.unique_names(comp(s, d).filter("cluster_id >= 0").groupBy("cluster_id").agg(F.max("label").alias("cluster_name"))), f"WITH {COMPOSITION}, n AS (SELECT cluster_id, max(label) AS name FROM comp WHERE cluster_id >= 0 GROUP BY 1) SELECT cluster_id, CASE WHEN row_number() OVER (PARTITION BY name ORDER BY cluster_id) > 1 THEN name || '-c' || cluster_id ELSE name END AS cluster_name FROM n")
 add(

@@ -337,6 +337,25 @@ def test_health_counts_every_part(spark):
     assert catalog.queries()["graph_health_whole"](spark, data).first()["n_orphans"] == parts > 3
 
 
+def test_cross_similarity_takes_all_pairs(spark, tmp_path):
+    from orrery.plans import q_cluster
+
+    r = np.random.default_rng(3)
+    group = [i % 8 if i < 200 else 0 for i in range(1500)]
+    vectors = r.normal(size=(1500, 4)).astype(np.float32) + np.eye(8, 4, dtype=np.float32)[group]
+    vectors[7] = 0
+    made = [(i, [float(x) for x in v], g) for i, (v, g) in enumerate(zip(vectors, group, strict=True))]
+    frame(spark, made, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = q_cluster.Q["cross_similarity"](spark, str(tmp_path)).collect()
+    norm = np.linalg.norm(vectors.astype(float), axis=1)
+    unit = vectors / np.maximum(norm, 1e-12)[:, None]
+    assert len(got) > 8 and max(x["pairs"] for x in got) == 1325 * 25
+    for x in got:
+        s = (unit[np.array(group) == x["src_cluster_id"]] @ unit[np.array(group) == x["dst_cluster_id"]].T).ravel()
+        want = [len(s), s.min(), s.max(), s.mean(), s.std(), *np.quantile(s, [0.05, 0.5, 0.95])]
+        assert np.allclose([x[c] for c in ("pairs", "min", "max", "mean", "std", "p05", "p50", "p95")], want, atol=2e-6)
+
+
 def test_exports_hold_whole_texts(spark, tmp_path):
     import duckdb
 
