@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A word is a run of characters outside ASCII white space.
@@ -34,6 +34,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, order: list, name: str) -> DataFrame:
+    """df, stored, with a column of numbers from 0 in the order given. Ranges are numbered in parallel; their sizes, a row each, are summed up in one task."""
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    held = stored(ranged.withColumn("__part", F.spark_partition_id()).withColumn("__nth", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))), "numbered")
+    sizes = held.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    ahead = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
+    ahead = sizes.select("__part", F.coalesce(F.sum("__n").over(ahead), F.lit(0)).alias("__ahead"))
+    return held.join(F.broadcast(ahead), "__part").withColumn(name, F.col("__ahead") + F.col("__nth")).drop("__part", "__nth", "__ahead")
+
+
 def fold(column: str, folds: int):
     """The fold of a row: crc32 of the id as text, modulo folds; a null id is in the fold of the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % folds

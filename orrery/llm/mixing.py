@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from math import gcd
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orrery.llm.common import WORD, small_batches
+from orrery.llm.common import WORD, numbered, small_batches, stored
+from orrery.llm.textkit import mix
 
 #: Words in a block, where a source has enough of them; blocks of a source at most.
 BLOCK_WORDS, MAX_BLOCKS = 4096, 1 << 16
@@ -19,45 +19,52 @@ BLOCK_WORDS, MAX_BLOCKS = 4096, 1 << 16
 BUCKETS = 4096
 #: Output shards.
 SHARDS = 8
-#: Sources that may be planned on the driver: a row of a few numbers for each.
-MAX_SOURCES = 1_000_000
-#: Sources whose plan may be broadcast: some 200 bytes and 8 bytes a shard for each.
-BROADCAST_SOURCES = 10_000
-
-
-def targets(sizes: list[int], weights: list[float], most: float) -> list[float]:
-    """Shares of the sum of sizes by weight; what exceeds most times a size goes to the others by weight, again and again."""
-    left, out, open_ = float(sum(sizes)), [0.0] * len(sizes), [i for i, s in enumerate(sizes) if s > 0]
-    while open_:
-        total = sum(weights[i] for i in open_)
-        full = [i for i in open_ if left * weights[i] / total > most * sizes[i]]
-        if not full:
-            for i in open_:
-                out[i] = left * weights[i] / total
-            break
-        for i in full:
-            out[i] = float(most * sizes[i])
-        left -= sum(out[i] for i in full)
-        open_ = [i for i in open_ if i not in set(full)]
-    return out
+#: Sources whose quotas one tree splits: their blocks stay below the 10^9 that an exact hypergeometric draw takes.
+TREE_SOURCES = 4096
+
+SOURCE_PLAN = "sid long, source_size long, target double, n long, draws long, cut long, ends array<long>"
+DRAWS = "sid long, block long, round long, out_shard int, lost long"
+PIECE = "out_shard int, round long, from_word long, n_words long"
 
 
-def split(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
+def water_level(sources: DataFrame, most: float) -> float:
+    """The level v at which the targets min(v * weight, most * size) add up to the sum of sizes.
+
+    It rises step by step: sources that reach their limit leave, and what they leave is shared by weight among the others. Each step is
+    one aggregate over (size, weight); it ends when no source leaves.
+    """
+    full_before, level = -1, 0.0
+    while True:
+        full = F.col("weight") * F.lit(level) > F.col("size") * F.lit(float(most))
+        row = sources.filter("size > 0").agg(
+            F.coalesce(F.sum("size"), F.lit(0)).alias("total"),
+            F.sum(full.cast("int")).alias("n"),
+            F.sum(F.when(full, F.col("size") * F.lit(float(most))).otherwise(0.0)).alias("taken"),
+            F.sum(F.when(full, 0.0).otherwise(F.col("weight"))).alias("weight"),
+        ).first()
+        total = int(row["total"])
+        if not total or not row["weight"] or row["n"] == full_before:
+            return level
+        full_before = row["n"]
+        level = (total - row["taken"]) / row["weight"]
+
+
+def split(quotas: np.ndarray, shards: int, seed) -> np.ndarray:
     """Blocks of each source in each shard (sources x shards): a node of the tree draws its left half's blocks from its own without replacement."""
     out = np.zeros((len(quotas), shards), np.int64)
+    seeds = [int(x) for x in np.atleast_1d(seed)]
 
     def node(q: np.ndarray, first: int, n: int) -> None:
         if n == 1:
             out[:, first] = q
             return
         half, total = n // 2, int(q.sum())
-        draws = total * half // n
-        rng = np.random.default_rng([seed, first, n])
+        rng = np.random.default_rng([*seeds, first, n])
         left = np.zeros_like(q)
-        rest, need = total, draws
+        rest, need = total, total * half // n
         for i in np.flatnonzero(q):  # marginals: a hypergeometric draw for each source, given those before it
             rest -= int(q[i])
-            left[i] = draw(rng, int(q[i]), rest, need)
+            left[i] = rng.hypergeometric(int(q[i]), rest, need) if need else 0
             need -= int(left[i])
         node(left, first, half)
         node(q - left, first + half, n - half)
@@ -66,147 +73,128 @@ def split(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
     return out
 
 
-def draw(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
-    """Hypergeometric; numpy takes counts below 10^9, which MAX_BLOCKS keeps a few thousand full sources within; beyond, its normal limit."""
-    if n <= 0 or good == 0:
-        return 0
-    if good + bad < 10**9:
-        return int(rng.hypergeometric(good, bad, n))
-    p, total = good / (good + bad), good + bad
-    sd = (n * p * (1 - p) * (total - n) / max(1, total - 1)) ** 0.5
-    return int(min(max(round(rng.normal(n * p, sd)), max(0, n - bad)), good, n))
-
-
-def plan(sizes: list[tuple[str | None, int]], weights: tuple[float, ...], most: float, shards: int, seed: int, block_words: int) -> list[dict]:
-    """For each source: its target, blocks, draws, the key of its permutation of blocks, and where each shard's draws end."""
-    ordered = sorted(sizes, key=lambda x: (x[0] is None, x[0] or ""))
-    aims = targets([s for _, s in ordered], [weights[i % len(weights)] for i in range(len(ordered))], most)
-    out, quotas = [], []
-    for i, ((source, size), aim) in enumerate(zip(ordered, aims, strict=True)):
-        n = max(1, min(MAX_BLOCKS, size // block_words))
-        want = min(round(aim), int(most * size))
-        # whole blocks first; block b holds the words from b * size // n to (b + 1) * size // n of a round
-        rounds, rest = divmod(want, size) if size else (0, 0)
-        rng = np.random.default_rng([seed, i])
-        a = next(int(x) for x in rng.integers(1, max(2, n), 10_000) if gcd(int(x), n) == 1)
-        b = int(rng.integers(0, n))
-        whole, taken = 0, 0
-        while taken < rest:
-            block = (a * whole + b) % n
-            taken += (block + 1) * size // n - block * size // n
-            whole += 1
-        cut = taken - rest  # words that the last drawn block leaves out
-        out.append({"source": source, "source_size": size, "target": aim, "n": n, "inv": pow(a, -1, n) if n > 1 else 0, "b": b, "draws": rounds * n + whole, "cut": cut})
-        quotas.append(rounds * n + whole)
-    ends = np.cumsum(split(np.array(quotas, np.int64), shards, seed), axis=1) if out else []
-    for row, e in zip(out, ends, strict=True):
-        row["ends"] = [int(x) for x in e]
-    return out
+def block_order(sid: int, n: int, seed: int) -> np.ndarray:
+    """The permutation in which a source's blocks are drawn."""
+    return np.random.default_rng([seed, sid]).permutation(n)
+
+
+def quota(sid: int, size: int, target: float, most: float, block_words: int, seed: int) -> tuple[int, int, int]:
+    """(blocks, draws, words that the last draw leaves out) with which a source's draws take its target, rounded.
+
+    Block b holds the words from b * size // n to (b + 1) * size // n of the source's line.
+    """
+    n = max(1, min(MAX_BLOCKS, size // block_words))
+    want = min(round(target), int(most * size))
+    if want <= 0:
+        return n, 0, 0
+    rounds, rest = divmod(want, size)
+    block = block_order(sid, n, seed).astype(object if size >= 1 << 46 else np.int64)
+    taken = np.cumsum((block + 1) * size // n - block * size // n)
+    whole = int(np.searchsorted(taken, rest)) + 1 if rest else 0
+    return n, rounds * n + whole, int(taken[whole - 1]) - rest if rest else 0
+
+
+def tree_plan(sources: DataFrame, most: float, shards: int, seed: int, block_words: int) -> DataFrame:
+    """SOURCE_PLAN of (sid, size, target): each source's quota of blocks and where each shard's draws end. A tree for every TREE_SOURCES sources."""
+    per_tree = max(1, min(TREE_SOURCES, (10**9 - 1) // (MAX_BLOCKS * int(np.ceil(most) + 1))))
+
+    def plan(key, frame):
+        frame = frame.sort_values("sid")
+        rows = [quota(s, z, t, most, block_words, seed) for s, z, t in zip(frame["sid"].tolist(), frame["size"].tolist(), frame["target"].tolist(), strict=True)]
+        ends = np.cumsum(split(np.array([r[1] for r in rows], np.int64), shards, [seed, int(key[0])]), axis=1)
+        made = frame[["sid"]].assign(source_size=frame["size"], target=frame["target"], n=[r[0] for r in rows], draws=[r[1] for r in rows], cut=[r[2] for r in rows])
+        return made.assign(ends=list(ends))
+
+    return sources.select("sid", "size", "target").groupBy(F.floor(F.col("sid") / per_tree).alias("tree")).applyInPandas(plan, SOURCE_PLAN)
 
 
-def mix_pieces(
+def drawn_blocks(plan: DataFrame, seed: int) -> DataFrame:
+    """A row of DRAWS for each draw of each shard: the shards draw one after the other from the permuted blocks, so no block is drawn twice in a round."""
+    schema = pa.schema([("sid", pa.int64()), ("block", pa.int64()), ("round", pa.int64()), ("out_shard", pa.int32()), ("lost", pa.int64())])
+
+    def run(batches):
+        for batch in batches:
+            for sid, n, draws, cut, ends in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+                if not draws:
+                    continue
+                d = np.arange(draws)
+                lost = np.zeros(draws, np.int64)
+                lost[-1] = cut
+                columns = [np.full(draws, sid), block_order(sid, n, seed)[d % n], d // n, np.searchsorted(np.array(ends), d, side="right").astype(np.int32), lost]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=schema)
+
+    return plan.select("sid", "n", "draws", "cut", "ends").repartition("sid").mapInArrow(run, DRAWS)
+
+
+def identity(docs: DataFrame) -> list:
+    """Two 64-bit hashes by which equal rows of docs are known; a column that cannot be hashed, such as a map, is hashed as JSON."""
+    columns = [F.to_json(F.struct(f.name)) if "map<" in f.dataType.simpleString() or "variant" in f.dataType.simpleString() else F.col(f.name) for f in docs.schema]
+    return [F.xxhash64("doc_id", "text").alias("__h"), F.xxhash64(F.lit(1), *columns).alias("__g")]
+
+
+def mixed_rows(
     docs: DataFrame,
     weights: tuple[float, ...] = (1, 2, 3),
     most: float = 3,
     shards: int = SHARDS,
     seed: int = 11,
     block_words: int = BLOCK_WORDS,
-) -> tuple[DataFrame, DataFrame]:
-    """(documents with size, source_size and target; pieces that the mix takes).
-
-    The documents of a source lie in a line, in the order of a hash; the line is cut into blocks of about
-    block_words words. The source's quota of blocks, repeats counted, is split exactly among the output shards by
-    a tree of multivariate-hypergeometric draws on the driver, from one row for each source. The quota's draws go through
-    a permutation of the blocks, once for each repeat, so the draws of shards are disjoint. A piece is the part of a document in a drawn
-    block: its key, round, from_word, n_words, out_shard and place (the order in the shard, by a hash). The last
-    block of a source is cut so that its words are its target, rounded.
-
-    Sizes are words; a null text has none. Sources are ordered by code point, null last, and weigh
-    `weights` in turn. A target stops at `most` times the source's size. A document of no words
-    has no piece. Equal documents, also with equal ids, lie side by side and are taken each for itself.
-    Null ids are ids like any other. An empty table gives none.
+) -> DataFrame:
+    """One row for each row of docs: doc_id, source, __h, __g (see identity), size, source_size, target, sid (number of the source), at (first word's place in the
+    source's line; null without words) and pieces, the parts of the row that shards take.
+
+    The documents of a source lie in a line, in the order of a hash; the line is cut into blocks of about block_words words. The source's
+    quota of blocks, repeats counted, is split exactly among the output shards by a tree of multivariate-hypergeometric
+    draws. The shards then draw their quotas one after the other along a permutation of the blocks, gone through once for each repeat, so draws
+    are disjoint. A piece is the part of a row in a drawn block: out_shard, round, from_word, n_words. The last block of a source is cut so that its words are its target, rounded.
+
+    Sizes are words; a null text has none. Sources are ordered by code point, null last, and weigh `weights` in turn. A target stops at
+    `most` times the source's size. Equal rows lie side by side and are taken each for itself. Null ids are ids like any other. An empty table gives none.
+
+    The texts are read once, for sizes and hashes. No step meets a source's rows in one task: lines are summed in BUCKETS buckets, draws are joined
+    by block. Sources are numbered and planned in tasks too; the driver sees the water level alone.
     """
-    spark = docs.sparkSession
-    sized = docs.drop("size", "__h").withColumns(
-        {
-            "size": F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"),
-            "__h": F.xxhash64("doc_id", "text"),
-        }
-    )
-    slim = sized.select("doc_id", "source", "size", "__h").withColumn("__bucket", F.pmod("__h", F.lit(BUCKETS)).cast("int"))
-    totals = slim.groupBy("source", "__bucket").agg(F.sum("size").alias("__sum"))
-    per_source = totals.groupBy("source").agg(F.sum("__sum").alias("n")).limit(MAX_SOURCES + 1).collect()
-    if len(per_source) > MAX_SOURCES:
-        raise ValueError(f"over {MAX_SOURCES} sources")
-    rows = plan([(r[0], int(r[1])) for r in per_source], weights, most, shards, seed, block_words)
-    kinds = "source string, source_size long, target double, n long, inv long, b long, draws long, cut long, ends array<long>"
-    planned = spark.createDataFrame([tuple(r[k.split()[0]] for k in kinds.split(", ")) for r in rows], kinds)
-    if len(rows) <= BROADCAST_SOURCES:
-        planned = F.broadcast(planned)
-
-    same = lambda a, b: a["source"].eqNullSafe(b["source"])
-    ahead = Window.partitionBy("source").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("source", "__bucket", F.coalesce(F.sum("__sum").over(ahead), F.lit(0)).alias("__offset"))
-    line = Window.partitionBy("source", "__bucket").orderBy("__h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    lined = slim.filter("size > 0").withColumn("__before", F.coalesce(F.sum("size").over(line), F.lit(0)))
-    o = offsets.select(F.col("source").alias("__s"), F.col("__bucket").alias("__k"), "__offset")
-    lined = lined.join(o, lined["source"].eqNullSafe(o["__s"]) & (lined["__bucket"] == o["__k"])).drop("__s", "__k")
-    lined = lined.withColumn("__at", F.col("__before") + F.col("__offset"))
-    p = planned.withColumnRenamed("source", "__s")
-    lined = lined.join(p, lined["source"].eqNullSafe(p["__s"])).drop("__s")
+    key = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")).alias("__s")
+    slim = docs.select("doc_id", "source", key, F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), *identity(docs))
+    slim = stored(slim.withColumn("__bucket", F.pmod("__h", F.lit(BUCKETS)).cast("int")), "mix-sizes")
+    totals = slim.groupBy("__s", "source", "__bucket").agg(F.sum("size").alias("__sum"))
+    sources = numbered(totals.groupBy("__s", "source").agg(F.sum("__sum").alias("size")), [F.col("source").asc_nulls_last()], "sid")
+    sources = sources.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("sid") % len(weights) + 1).cast("int")))
+    level = water_level(sources, most)
+    sources = sources.withColumn("target", F.when(F.col("size") > 0, F.least(F.col("weight") * F.lit(level), F.col("size") * F.lit(float(most)))).otherwise(0.0))
+    plan = stored(tree_plan(sources, most, shards, seed, block_words), "mix-plan")
+
+    ahead = Window.partitionBy("__s").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("__s", "__bucket", F.coalesce(F.sum("__sum").over(ahead), F.lit(0)).alias("__offset"))
+    offsets = offsets.join(sources.select("__s", "sid"), "__s").join(plan.select("sid", "source_size", "target", "n"), "sid")
+    line = Window.partitionBy("__s", "__bucket").orderBy("__h", "doc_id", "__g").rowsBetween(Window.unboundedPreceding, -1)
+    lined = slim.withColumn("__before", F.coalesce(F.sum("size").over(line), F.lit(0))).join(offsets, ["__s", "__bucket"])
+    lined = lined.withColumn("at", F.when(F.col("size") > 0, F.col("__before") + F.col("__offset")))
+    carried = ("doc_id", "source", "__h", "__g", "size", "source_size", "target")
+    lined = stored(lined.select(*carried, "sid", "at", "n"), "mix-lines")
+
     # block b begins at floor(b * S / n): word w is in block floor(((w + 1) * n - 1) / S)
     block_of = lambda w: F.expr(f"(({w} + 1) * n - 1) div source_size")
-    blocks = F.sequence(block_of("__at"), block_of("(__at + size - 1)"))
-    pieces = lined.withColumn("block", F.explode(blocks))
-    first = F.expr("block * source_size div n")
-    last = F.expr("(block + 1) * source_size div n")
-    pieces = pieces.withColumns({"__lo": F.greatest("__at", first), "__hi": F.least(F.col("__at") + F.col("size"), last), "__last": last})
-    pieces = pieces.withColumn("__index", F.expr("pmod((block - b) * inv, n)"))
-    pieces = pieces.withColumn("round", F.explode(F.expr("filter(sequence(0, greatest(0, (draws - 1) div n)), r -> r * n + __index < draws)")))
-    pieces = pieces.withColumn("__draw", F.col("round") * F.col("n") + F.col("__index"))
-    pieces = pieces.withColumn("__hi", F.when(F.col("__draw") == F.col("draws") - 1, F.least("__hi", F.col("__last") - F.col("cut"))).otherwise(F.col("__hi")))
-    pieces = pieces.filter("__hi > __lo").select(
-        "doc_id",
-        "source",
-        "__h",
-        "round",
-        "block",
-        (F.col("__lo") - F.col("__at")).alias("from_word"),
-        (F.col("__hi") - F.col("__lo")).alias("n_words"),
-        "size",
-        F.size(F.filter("ends", lambda e: e <= F.col("__draw"))).alias("out_shard"),
-        "__at",
-    )
-    pieces = pieces.withColumn("place", F.xxhash64("__h", "__at", "round", F.lit(seed)))
-    q = planned.select(F.col("source").alias("__s"), "source_size", "target")
-    known = sized.drop(*[c for c in ("source_size", "target") if c in docs.columns])
-    known = known.join(q, known["source"].eqNullSafe(q["__s"])).drop("__s")
-    return known, pieces
+    parts = lined.filter("size > 0").withColumn("block", F.explode(F.sequence(block_of("at"), block_of("(at + size - 1)"))))
+    parts = parts.join(drawn_blocks(plan, seed), ["sid", "block"], "left")
+    parts = parts.withColumns({"__lo": F.greatest("at", F.expr("block * source_size div n")), "__hi": F.least(F.expr("at + size"), F.expr("(block + 1) * source_size div n - lost"))})
+    piece = F.when(F.col("out_shard").isNotNull() & (F.col("__hi") > F.col("__lo")), F.struct("out_shard", "round", (F.col("__lo") - F.col("at")).alias("from_word"), (F.col("__hi") - F.col("__lo")).alias("n_words")))
+    rows = parts.groupBy("sid", "at").agg(*[F.first(c).alias(c) for c in carried], F.sort_array(F.collect_list(piece)).alias("pieces"))
+    none = lined.filter("size = 0").select(*carried, "sid", "at", F.array().cast(f"array<struct<{PIECE.replace(' ', ':').replace(',:', ',')}>>").alias("pieces"))
+    return rows.select(*carried, "sid", "at", "pieces").unionByName(none)
 
 
 def mix_counts(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, size, source_size, target, taken (words that the mix takes, repeats counted), first_shard and shard_words of each document; see mix_pieces.
+    """doc_id, size, source_size, target, taken (words that the shards take, repeats counted), first_shard and shard_words of each document; see mixed_rows.
 
-    shard_words: (out_shard, n_words) of the shards that take words of the document, in their order; null where none does.
-    Rows that are equal in id and text share what their pieces take evenly, the first rows getting the remainder: their
-    words in the order of shards are dealt to the rows in turn.
+    shard_words: (out_shard, n_words) of the shards that take words of the document, in their order; taken is their sum; both are null or 0 where none does.
     """
-    known, pieces = mix_pieces(docs, **options)
-    per_shard = pieces.groupBy("doc_id", "source", "__h", "out_shard").agg(F.sum("n_words").alias("n_words"))
-    took = per_shard.groupBy("doc_id", "source", "__h").agg(F.sum("n_words").alias("__taken"), F.sort_array(F.collect_list(F.struct("out_shard", "n_words"))).alias("__shards"))
-    t = took.select(F.col("doc_id").alias("__i"), F.col("source").alias("__s"), F.col("__h").alias("__g"), "__taken", "__shards")
-    slim = known.select("doc_id", "source", "size", "source_size", "target", "__h")
-    alike = Window.partitionBy("doc_id", "source", "__h")
-    slim = slim.withColumns({"__copies": F.count(F.lit(1)).over(alike), "__nth": F.row_number().over(alike.orderBy("size"))})
-    joined = slim.join(t, slim["doc_id"].eqNullSafe(t["__i"]) & slim["source"].eqNullSafe(t["__s"]) & (slim["__h"] == t["__g"]), "left")
-    share = F.expr("__taken div __copies + if(__nth <= __taken % __copies, 1, 0)")
-    dealt = lambda upto: f"({upto} div __copies + if(__nth <= {upto} % __copies, 1, 0))"
-    # the words of the shards before each one, and up to it
-    before = "aggregate(slice(__shards, 1, i), 0L, (a, y) -> a + y.n_words)"
-    own = F.expr(f"transform(__shards, (x, i) -> named_struct('out_shard', x.out_shard, 'n_words', {dealt(f'({before} + x.n_words)')} - {dealt(before)}))")
-    joined = joined.withColumn("shard_words", F.filter(own, lambda x: x["n_words"] > 0))
-    joined = joined.withColumn("shard_words", F.when(F.size("shard_words") > 0, F.col("shard_words")))
-    return joined.select("doc_id", "size", "source_size", "target", F.coalesce(share, F.lit(0)).cast("long").alias("taken"), F.col("shard_words")[0]["out_shard"].alias("first_shard"), "shard_words")
+    rows = mixed_rows(docs.select("doc_id", "text", "source"), **options)
+    n_words = lambda s: F.aggregate(F.filter("pieces", lambda p: p["out_shard"] == s), F.lit(0).cast("long"), lambda a, p: a + p["n_words"])
+    rows = rows.withColumn("shard_words", F.transform(F.array_sort(F.array_distinct(F.col("pieces.out_shard"))), lambda s: F.struct(s.alias("out_shard"), n_words(s).alias("n_words"))))
+    taken = F.aggregate("shard_words", F.lit(0).cast("long"), lambda a, s: a + s["n_words"])
+    some = F.when(F.size("shard_words") > 0, F.col("shard_words"))
+    return rows.select("doc_id", "size", "source_size", "target", taken.alias("taken"), some[0]["out_shard"].alias("first_shard"), some.alias("shard_words"))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
@@ -222,48 +210,37 @@ def mixed_shards(docs: DataFrame, **options) -> DataFrame:
 
     Pieces that meet in a round and shard are one row. A whole document keeps its text as it is; a part runs from its first
     word to its last one. n_chars, where docs has it, is that of the new text.
+
+    The texts are shuffled twice: to meet their pieces (equal rows as one text, so a group of copies is not one task's), and into the shards.
     """
     small_batches(docs.sparkSession)
     columns = docs.columns
-    shards = options.get("shards", SHARDS)
-    packed = docs.select("doc_id", "text", "source", F.struct("*").alias("__row"))  # whatever docs' columns are called
-    known, pieces = mix_pieces(packed, **options)
-    runs = pieces.groupBy("doc_id", "source", "__h", "__at", "round", "out_shard", "place").agg(F.sort_array(F.collect_list(F.struct("from_word", "n_words"))).alias("__parts"))
-    per_doc = runs.groupBy("doc_id", "source", "__h").agg(F.sort_array(F.collect_list(F.struct("__at", "round", "out_shard", "place", "__parts"))).alias("__rounds"))
-    # rows equal in id and text stand side by side in the line; the nth of them takes the nth place's rounds
-    alike = Window.partitionBy("doc_id", "source", "__h").orderBy("size")
-    rows = known.withColumn("__nth", F.row_number().over(alike))
-    r = per_doc.select(F.col("doc_id").alias("__i"), F.col("source").alias("__s"), F.col("__h").alias("__g"), "__rounds")
-    rows = rows.join(r, rows["doc_id"].eqNullSafe(r["__i"]) & rows["source"].eqNullSafe(r["__s"]) & (rows["__h"] == r["__g"]))
-    places = F.array_sort(F.array_distinct(F.transform("__rounds", lambda x: x["__at"])))
-    rows = rows.withColumn("__place", F.try_element_at(places, F.col("__nth")))
-    rows = rows.withColumn("__piece", F.explode(F.filter("__rounds", lambda x: x["__at"] == F.col("__place"))))
-    rows = rows.select("__row", "text", "size", F.col("__piece.__parts").alias("__parts"), F.col("__piece.out_shard").alias("out_shard"), F.col("__piece.place").alias("place"))
-    schema = T.StructType([rows.schema["__row"], T.StructField("__text", T.StringType()), rows.schema["out_shard"], rows.schema["place"], T.StructField("__from", T.LongType())])
+    shards, seed = options.get("shards", SHARDS), options.get("seed", 11)
+    taken = mixed_rows(docs, **options).filter(F.size("pieces") > 0).select("__h", "__g", F.xxhash64("__h", "at", F.lit(seed)).alias("__base"), "size", "pieces")
+    texts = docs.select(*identity(docs), F.struct(*[F.col(c) for c in columns]).alias("__row"), F.col("text").alias("__whole"))
+    one = Window.partitionBy("__h", "__g").orderBy(F.lit(1))
+    texts = texts.withColumn("__nth", F.row_number().over(one)).filter("__nth = 1").drop("__nth")
+    rows = texts.join(taken, ["__h", "__g"]).select("__row", "__whole", "__base", "size", "pieces")
+    schema = T.StructType([rows.schema["__row"], T.StructField("__text", T.StringType()), T.StructField("out_shard", T.IntegerType()), T.StructField("place", T.LongType()), T.StructField("__from", T.LongType())])
 
     def cut(batches):
         for batch in batches:
-            at: list[int] = []
-            texts: list[str] = []
-            begins: list[int] = []
-            for i, (text, size, parts) in enumerate(zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True)):
+            made: list[tuple[int, str, int, int, int]] = []
+            for i, (text, base, size, pieces) in enumerate(zip(*(batch.column(k).to_pylist() for k in range(1, 5)), strict=True)):
                 spans: list[list[int]] = []
-                for p in parts:
-                    lo, n = p["from_word"], p["n_words"]
-                    if spans and spans[-1][1] == lo:
-                        spans[-1][1] = lo + n
+                for p in pieces:  # in the order of shard, round, word
+                    s, r, lo, n = p["out_shard"], p["round"], p["from_word"], p["n_words"]
+                    if spans and spans[-1][:2] == [s, r] and spans[-1][3] == lo:
+                        spans[-1][3] = lo + n
                     else:
-                        spans.append([lo, lo + n])
-                if spans == [[0, size]]:
-                    made = [text]
-                else:
-                    word = [m.span() for m in re.finditer(WORD, text)]
-                    made = [text[word[lo][0] : word[hi - 1][1]] for lo, hi in spans]
-                at += [i] * len(made)
-                texts += made
-                begins += [lo for lo, _ in spans]
-            take = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), pa.array(texts, pa.string()), batch.column(4).take(take), batch.column(5).take(take), pa.array(begins, pa.int64())], names=schema.names)
+                        spans.append([s, r, lo, lo + n])
+                word = None if all((lo, hi) == (0, size) for _, _, lo, hi in spans) else [m.span() for m in re.finditer(WORD, text)]
+                for s, r, lo, hi in spans:
+                    made.append((i, text if (lo, hi) == (0, size) else text[word[lo][0] : word[hi - 1][1]], s, base + r, lo))
+            if made:
+                at, texts_, shard, place, begin = zip(*made, strict=True)
+                place = mix(np.array([p % (1 << 64) for p in place], np.uint64)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array(texts_, pa.string()), pa.array(shard, pa.int32()), pa.array(place), pa.array(begin, pa.int64())], names=schema.names)
 
     new = {"text": F.col("__text"), "n_chars": F.char_length("__text").cast("long")}
     made = rows.mapInArrow(cut, schema)
