@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import small_batches, stored
+from orrery.llm.common import arrow_type, small_batches, stored
 from orrery.llm.textkit import group_starts, grouped, mix, pieces, power, prefix_hash, span_hash
 
 #: Bytes of a repeated string, of an anchor in it, and of the regions in a shard's suffix array.
@@ -189,8 +189,8 @@ def anchored(docs: DataFrame, length: int, anchor: int) -> DataFrame:
 
 
 def regions(wanted: DataFrame, docs: DataFrame, length: int) -> DataFrame:
-    """wanted (anchor, sub, subs, copies and a region's text and place) with the region's bytes."""
-    fields = ("anchor", "sub", "subs", "alone", "begin", "windows")
+    """wanted (anchor, region_key, sub, subs, alone and a region's text and place) with the region's bytes."""
+    fields = ("anchor", "region_key", "sub", "subs", "alone", "begin", "windows")
     per_text = wanted.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct(*fields)).alias("parts"))
     w = per_text.select(F.col("doc_id").alias("__i"), F.col("text_key").alias("__k"), "parts")
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
@@ -209,18 +209,28 @@ def regions(wanted: DataFrame, docs: DataFrame, length: int) -> DataFrame:
                 again = pa.array(np.zeros(len(own), np.int64))
                 yield pa.RecordBatch.from_arrays([ids.slice(r, 1).take(again), keys.slice(r, 1).take(again), *(own.field(f) for f in fields), pa.array(made, pa.binary())], names=names)
 
-    return joined.mapInArrow(run, f"doc_id {kind}, text_key long, anchor long, sub int, subs int, alone boolean, begin long, windows int, region binary")
+    return joined.mapInArrow(run, f"doc_id {kind}, text_key long, anchor long, region_key long, sub int, subs int, alone boolean, begin long, windows int, region binary")
 
 
 MARKS = "doc_id {}, text_key long, starts array<long>, ends array<long>"
-BLOBS = ", anchor long, slice int, prints binary, places binary, ids array<{}>, keys array<long>, begins array<long>"
+BLOBS = ", anchor long, slice int, prints binary, places binary"
+#: Of a window: a second hash, its region, its first byte there (-1 where it is removed already).
+PLACE = np.dtype([("check", "<u8"), ("region_key", "<i8"), ("offset", "<i8")])
+
+
+def chained(words: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """A hash of the `length` bytes (8 at least) from each of the places: their 8-byte words, mixed one into the other. words: see words8()."""
+    out = np.full(len(at), length, np.uint64)
+    for j in [*range(0, length - 7, 8), length - 8]:
+        out = mix(out ^ words[at + j])
+    return out
 
 
 def shard_marks(parts: DataFrame, length: int) -> DataFrame:
     """Marks of each shard's suffix array, and for anchors in several shards the windows' fingerprints, cut into slices by value.
 
-    A row has either doc_id, text_key, starts, ends (removed bytes of a region that is nowhere else as a whole) or anchor, slice, prints (sorted), places
-    (region and offset of each print's window, a region of -1 where the window is removed already), ids, keys, begins (of the regions).
+    A row has either doc_id, text_key, starts, ends (removed bytes of a region that is nowhere else as a whole) or anchor, slice, prints (sorted) and places (PLACE of each
+    print's window). So a window of a split anchor is in one row, whatever the number of shards and slices.
     """
     kind = parts.schema["doc_id"].dataType.simpleString()
     keys = ("anchor", "sub")
@@ -248,77 +258,84 @@ def shard_marks(parts: DataFrame, length: int) -> DataFrame:
                 yield table(len(own), doc_id=ids.take(take), text_key=text_keys.take(take), starts=pa.ListArray.from_arrays(pa.array(cuts), pa.array(lo)), ends=pa.ListArray.from_arrays(pa.array(cuts), pa.array(hi)))
             subs = column("subs").to_numpy()
             bounds = np.append(group_starts(rows, keys), n)
-            anchors = column("anchor").to_numpy()
+            anchors, region_keys = column("anchor").to_numpy(), column("region_key").to_numpy()
+            prefix = words = None
             for a, b in zip(bounds[:-1], bounds[1:], strict=True):
                 if subs[a] < 2:
                     continue
                 mine = np.flatnonzero((region >= a) & (region < b))
-                prints = span_hash(prefix_hash(data), at[region[mine]] + offset[mine], at[region[mine]] + offset[mine] + length)
+                place = at[region[mine]] + offset[mine]
+                prefix = prefix if prefix is not None else prefix_hash(data)
+                words = words if words is not None else words8(data)
+                prints, check = span_hash(prefix, place, place + length), chained(words, place, length)
                 known = flags[mine] | ~alone[region[mine]]
-                order = np.lexsort((known, prints))
-                prints, known, mine = prints[order], known[order], mine[order]
+                order = np.lexsort((known, check, prints))
+                prints, check, known, mine = prints[order], check[order], known[order], mine[order]
                 keep = ~known
-                keep[np.concatenate([[0], np.flatnonzero(prints[1:] != prints[:-1]) + 1])] = True
-                prints, known, mine = prints[keep], known[keep], mine[keep]
-                places = np.column_stack([np.where(known, -1, region[mine] - a), offset[mine]]).astype("<i4")
+                keep[0] = True
+                keep[1:] |= (prints[1:] != prints[:-1]) | (check[1:] != check[:-1])
+                prints, check, known, mine = prints[keep], check[keep], known[keep], mine[keep]
+                places = np.zeros(len(prints), PLACE)
+                places["check"], places["region_key"], places["offset"] = check, region_keys[region[mine]], np.where(known, -1, offset[mine])
                 edge = np.searchsorted(prints, (np.arange(subs[a], dtype=np.float64) * (2.0**64 / subs[a])).astype(np.uint64))
                 edge = np.append(edge, len(prints))
-                for s in range(int(subs[a])):
+                for s in np.flatnonzero(np.diff(edge)).tolist():
                     p = slice(int(edge[s]), int(edge[s + 1]))
-                    if p.stop > p.start:
-                        one = pa.array([0, b - a], pa.int32())
-                        yield table(
-                            1,
-                            anchor=pa.array([anchors[a]]),
-                            slice=pa.array([s], pa.int32()),
-                            prints=pa.array([prints[p].tobytes()], pa.binary()),
-                            places=pa.array([places[p].tobytes()], pa.binary()),
-                            ids=pa.ListArray.from_arrays(one, ids.slice(a, b - a)),
-                            keys=pa.ListArray.from_arrays(one, text_keys.slice(a, b - a)),
-                            begins=pa.ListArray.from_arrays(one, pa.array(begin[a:b])),
-                        )
-
-    id_type = pa.string() if kind == "string" else pa.int64()
-    kinds = dict(doc_id=id_type, text_key=pa.int64(), starts=pa.list_(pa.int64()), ends=pa.list_(pa.int64()), anchor=pa.int64(), slice=pa.int32(), prints=pa.binary(), places=pa.binary(), ids=pa.list_(id_type), keys=pa.list_(pa.int64()), begins=pa.list_(pa.int64()))
+                    yield table(1, anchor=pa.array([anchors[a]]), slice=pa.array([s], pa.int32()), prints=pa.array([prints[p].tobytes()], pa.binary()), places=pa.array([places[p].tobytes()], pa.binary()))
+
+    id_type = arrow_type(parts, "doc_id")
+    kinds = dict(doc_id=id_type, text_key=pa.int64(), starts=pa.list_(pa.int64()), ends=pa.list_(pa.int64()), anchor=pa.int64(), slice=pa.int32(), prints=pa.binary(), places=pa.binary())
 
     def table(n: int, **columns):
         return pa.RecordBatch.from_arrays([columns[c].cast(t) if c in columns else pa.nulls(n, t) for c, t in kinds.items()], schema=pa.schema(list(kinds.items())))
 
-    return parts.mapInArrow(run, MARKS.format(kind) + BLOBS.format(kind))
+    return parts.mapInArrow(run, MARKS.format(kind) + BLOBS)
 
 
 def merged_marks(blobs: DataFrame, length: int) -> DataFrame:
-    """Marks of windows that are in several shards of an anchor: each shard's sorted fingerprints are looked up by binary search in the merged ones."""
-    kind = blobs.schema["doc_id"].dataType.simpleString()
+    """anchor, region_key, starts, ends (bytes of the region) of windows that are in several shards of an anchor: each shard's sorted fingerprints are looked up by binary search in the merged ones.
+
+    Windows are taken for equal where two unrelated 64-bit hashes of their bytes are.
+    """
     keys = ("anchor", "slice")
 
     def run(batches):
         for rows in grouped(batches, keys, 1 << 24):
             bounds = np.append(group_starts(rows, keys), rows.num_rows)
+            anchors = rows.column("anchor")
             read = lambda c, i, t: np.frombuffer(rows.column(c)[i].as_py(), t)  # noqa: E731, B023
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                shards = [read("prints", i, np.uint64) for i in range(a, b)]
-                merged, shards_with = np.unique(np.concatenate([np.unique(p) for p in shards]), return_counts=True)
-                for i, prints in zip(range(a, b), shards, strict=True):
-                    places = read("places", i, "<i4").reshape(-1, 2)
-                    hit = (shards_with[np.searchsorted(merged, prints)] > 1) & (places[:, 0] >= 0)
-                    found = places[hit].astype(np.int64)
-                    found = found[np.lexsort((found[:, 1], found[:, 0]))]
+                shards = [(read("prints", i, np.uint64), read("places", i, PLACE)) for i in range(a, b)]
+                # each shard's different windows, merged; and how many shards have each
+                single = []
+                for prints, places in shards:
+                    new = np.ones(len(prints), bool)
+                    new[1:] = (prints[1:] != prints[:-1]) | (places["check"][1:] != places["check"][:-1])
+                    single.append((prints[new], places["check"][new]))
+                merged, check = (np.concatenate(x) for x in zip(*single, strict=True))
+                order = np.lexsort((check, merged))
+                merged, check = merged[order], check[order]
+                first = np.flatnonzero(np.append(True, (merged[1:] != merged[:-1]) | (check[1:] != check[:-1])))
+                shards_with = np.diff(np.append(first, len(merged)))
+                merged, check = merged[first], check[first]
+                for prints, places in shards:
+                    at = np.searchsorted(merged, prints)
+                    while (other := check[at] != places["check"]).any():  # equal fingerprints, different windows
+                        at[other] += 1
+                    found = places[(shards_with[at] > 1) & (places["offset"] >= 0)]
                     if not len(found):
                         continue
-                    ids, text_keys, begin = (rows.column(c)[i].values for c in ("ids", "keys", "begins"))
-                    # flags over a line in which windows that do not adjoin are not side by side
-                    r, o = found[:, 0], found[:, 1]
+                    found = found[np.lexsort((found["offset"], found["region_key"]))]
+                    r, o = found["region_key"], found["offset"]
                     new = np.ones(len(r), bool)
                     new[1:] = (r[1:] != r[:-1]) | (o[1:] != o[:-1] + 1)
-                    first = np.flatnonzero(new)
-                    last = np.append(first[1:], len(r)) - 1
-                    b0 = begin.to_numpy()[r[first]]
-                    one = pa.array(np.arange(len(first) + 1, dtype=np.int32))
-                    take = pa.array(r[first])
-                    yield pa.RecordBatch.from_arrays([ids.take(take), text_keys.take(take), pa.ListArray.from_arrays(one, pa.array(b0 + o[first])), pa.ListArray.from_arrays(one, pa.array(b0 + o[last] + length))], names=["doc_id", "text_key", "starts", "ends"])
+                    first_ = np.flatnonzero(new)
+                    last = np.append(first_[1:], len(r)) - 1
+                    one = pa.array(np.arange(len(first_) + 1, dtype=np.int32))
+                    lists = [pa.ListArray.from_arrays(one, pa.array(x)) for x in (o[first_], o[last] + length)]
+                    yield pa.RecordBatch.from_arrays([anchors.take(pa.array([a] * len(first_))).combine_chunks(), pa.array(r[first_]), *lists], names=["anchor", "region_key", "starts", "ends"])
 
-    return blobs.mapInArrow(run, MARKS.format(kind))
+    return blobs.select("anchor", "slice", "prints", "places").mapInArrow(run, "anchor long, region_key long, starts array<long>, ends array<long>")
 
 
 def removed_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -334,13 +351,16 @@ def removed_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, s
     whole = whole.select("doc_id", "text_key", F.array("begin").alias("starts"), F.array(F.col("begin") + F.col("windows") + (length - 1)).alias("ends"))
     shards = kinds.filter("__kinds > 1").withColumn("subs", F.ceil(F.col("__bytes") / shard_bytes).cast("int"))
     several = shards.select(
-        "anchor", F.pmod(F.xxhash64("region_key"), F.col("subs")).cast("int").alias("sub"), "subs", (F.col("copies") == 1).alias("alone"), "of.doc_id", "of.text_key", "of.begin", "windows"
+        "anchor", "region_key", F.pmod(F.xxhash64("region_key"), F.col("subs")).cast("int").alias("sub"), "subs", (F.col("copies") == 1).alias("alone"), "of.doc_id", "of.text_key", "of.begin", "windows"
     )
     parts = regions(several, docs, length).repartition("anchor", "sub").sortWithinPartitions("anchor", "sub")
     marks = stored(shard_marks(parts, length), "marks")
     blobs = marks.filter("prints IS NOT NULL").repartition("anchor", "slice").sortWithinPartitions("anchor", "slice")
     columns = ["doc_id", "text_key", "starts", "ends"]
-    every = whole.unionByName(marks.filter("starts IS NOT NULL").select(*columns)).unionByName(merged_marks(blobs, length))
+    split_ = several.filter("subs > 1 AND alone").select("anchor", "region_key", "doc_id", "text_key", "begin")
+    moved = lambda c: F.transform(c, lambda x: x + F.col("begin")).alias(c)
+    merged = merged_marks(blobs, length).join(split_, ["anchor", "region_key"]).select("doc_id", "text_key", moved("starts"), moved("ends"))
+    every = whole.unionByName(marks.filter("starts IS NOT NULL").select(*columns)).unionByName(merged)
     return every.groupBy("doc_id", "text_key").agg(F.flatten(F.collect_list(F.arrays_zip("starts", "ends"))).alias("spans"))
 
 
@@ -356,6 +376,8 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, sh
     show which windows are there twice. An anchor with over shard_bytes of different regions is split over several shards; what is in
     several of them is found by merging the shards' sorted windows with binary search.
 
+    Regions are known by 64 bits of a hash within their anchor, itself 64 bits of another 64 bytes; windows of different shards by two unrelated hashes; in a shard bytes are compared.
+
     Null or empty texts: nothing to remove, the hash of no bytes. Rows that are equal count as copies. Null ids are ids like any other.
     Texts of fewer than `length` bytes are kept whole. Empty table: no rows.
     """

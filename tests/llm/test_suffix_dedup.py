@@ -80,3 +80,32 @@ def test_repeated_rows_null_ids_and_clashes(spark, documents):
     got = sd.suffix_dedup(docs, 24, 8)
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows, 24)
     assert sd.suffix_dedup(docs.limit(0)).collect() == []
+
+
+def test_equal_fingerprints_of_different_windows(spark):
+    """Two shards of an anchor: the fingerprint 5 stands for two windows, told apart by the second hash."""
+
+    def place(*rows):
+        return np.array(list(rows), sd.PLACE).tobytes()
+
+    rows = [
+        (1, 0, np.array([5, 5, 9], np.uint64).tobytes(), place((1, 10, 0), (2, 10, 1), (3, 11, 7))),
+        (1, 0, np.array([5, 9], np.uint64).tobytes(), place((2, 20, 4), (4, 20, 9))),
+        (2, 0, np.array([5], np.uint64).tobytes(), place((2, 30, 0))),
+    ]
+    blobs = spark.createDataFrame(rows, "anchor long, slice int, prints binary, places binary").coalesce(1).sortWithinPartitions("anchor", "slice")
+    assert sorted(map(tuple, sd.merged_marks(blobs, 24).collect())) == [(1, 10, [1], [25]), (1, 20, [4], [28])]
+
+
+def test_int_ids_and_long_texts(spark, documents):
+    r = random.Random(15)
+    noise = lambda n: "".join(r.choice("klmnopé ") for _ in range(n))
+    passage = noise(700)
+    rows = [(0, noise(40_000) + passage + noise(10_000)), (1, noise(300) + passage[100:] + noise(50)), (2, "ab" * 20_000), (3, noise(399))]
+    want = brute(rows, 400)
+    for kind in ("int", "string"):
+        docs = documents(rows).withColumn("doc_id", F.col("doc_id").cast(kind))
+        got = sd.suffix_dedup(docs, 400, 64, 2000)
+        assert got.schema["doc_id"].dataType.simpleString() == kind
+        assert sorted((int(x[0]), *x[1:]) for x in map(tuple, got.collect())) == want
+    assert [w[2] > 0 for w in want] == [True, True, True, False]
