@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orrery.llm.common import fold, small_batches
 from orrery.llm.textkit import mix, pieces, prefix_hash, power
 
-#: Lengths of the n-grams, in bytes of the lower-case text; hash buckets that they are counted in.
+#: Lengths of the n-grams, in characters (code points) of the lower-case text; hash buckets that they are counted in.
 LENGTHS, BITS = (4, 5, 6, 7, 8), 20
 #: Labelled documents that are learned from; n-gram buckets that get a weight.
 TRAIN_DOCS, FEATURES = 6000, 8192
@@ -18,21 +19,23 @@ TRAIN_DOCS, FEATURES = 6000, 8192
 SLICES, COUNTERS = 16, 8
 MODEL_ROUNDS, RIDGE = 300, 1e-4
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_LOWER[[9, 10, 11, 12, 13]] = 32
+_BLANK = np.arange(256, dtype=np.uint8)
+_BLANK[[9, 10, 11, 12, 13]] = 32
 
 
 def buckets(data: np.ndarray, offsets: np.ndarray):
-    """(bucket of each n-gram, its text), for each length in turn. N-grams do not cross texts."""
-    low = _LOWER[data]
-    prefix = prefix_hash(low)
+    """(bucket of each n-gram, its text), for each length in turn. data: lower-case UTF-8. N-grams do not cross texts; ASCII white space is a blank."""
+    plain = _BLANK[data]
+    prefix = prefix_hash(plain)
     inverse = power(len(prefix), True)
-    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    at = np.append(np.flatnonzero((plain & 0xC0) != 0x80), len(plain))  # where characters begin
+    ascii_ = len(at) == len(plain) + 1
+    text = np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(at, offsets)))
     for n in LENGTHS:
-        if len(low) < n:
+        if len(text) < n:
             continue
-        h = mix((prefix[n:] - prefix[:-n]) * inverse[: len(prefix) - n] + np.uint64(n))
+        begin, end = (slice(0, len(text) - n + 1), slice(n, len(prefix))) if ascii_ else (at[: len(text) - n + 1], at[n:])
+        h = mix((prefix[end] - prefix[begin]) * inverse[begin] + np.uint64(n))
         own = text[: len(h)]
         whole = own == text[n - 1 :]
         yield (h >> np.uint64(64 - BITS)).astype(np.int32)[whole], own[whole]
@@ -40,7 +43,7 @@ def buckets(data: np.ndarray, offsets: np.ndarray):
 
 def present(column: pa.Array, wanted: np.ndarray | None = None):
     """(first row, texts, bucket, text) with each bucket once for each text it is in. wanted: flags of the buckets to look for."""
-    for a, b, data, offsets in pieces(column):
+    for a, b, data, offsets in pieces(pc.utf8_lower(column)):
         keys = []
         for bucket, text in buckets(data, offsets):
             if wanted is not None:
@@ -83,6 +86,17 @@ def fit(x: tuple[np.ndarray, np.ndarray], y: np.ndarray, scale: np.ndarray) -> t
     return best[1], best[2]
 
 
+def features(seen: np.ndarray, size: np.ndarray, n_features: int) -> tuple[np.ndarray, np.ndarray]:
+    """(log-count ratio of each bucket, flags of the n_features that tell the labels apart best), from documents with the bucket by label, and documents."""
+    rate = (seen + 1.0) / (size[:, None] + 2.0)
+    ratio = np.log(rate[1] / rate[0])
+    usual = seen.sum(0) * (size[1] / size.sum())
+    worth = (seen[1] - usual) ** 2 / np.maximum(usual, 0.5)
+    wanted = np.zeros(seen.shape[1], bool)
+    wanted[np.argsort(-worth, kind="stable")[:n_features]] = True
+    return ratio, wanted & (seen.sum(0) >= 3)
+
+
 def train(docs: DataFrame, labels: DataFrame, folds: int, held_out_fold: int, train_docs: int = TRAIN_DOCS, n_features: int = FEATURES, seed: int = 9) -> tuple[np.ndarray, float]:
     """(weight of each bucket, bias). Learned from about train_docs labelled documents outside the held-out fold, chosen by a hash of the id.
 
@@ -124,13 +138,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int, held_out_fold: int, tr
     if size.min() == 0:
         return weights, -10.0 if size[1] == 0 else 10.0
     seen = np.concatenate([np.frombuffer(bytes(s[1]), np.int32).reshape(2, -1) for s in slices], axis=1)
-    rate = (seen + 1.0) / (size[:, None] + 2.0)
-    ratio = np.log(rate[1] / rate[0])
-    usual = seen.sum(0) * (size[1] / size.sum())
-    worth = (seen[1] - usual) ** 2 / np.maximum(usual, 0.5)
-    wanted = np.zeros(1 << BITS, bool)
-    wanted[np.argsort(-worth, kind="stable")[:n_features]] = True
-    wanted &= seen.sum(0) >= 3
+    ratio, wanted = features(seen, size, n_features)
     number = np.cumsum(wanted) - 1
 
     def rows(batches):
@@ -156,8 +164,8 @@ def train(docs: DataFrame, labels: DataFrame, folds: int, held_out_fold: int, tr
 def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out_fold: int = 0, **options) -> DataFrame:
     """One row for each row of docs: doc_id, held_out, score (probability of label 1) and predicted (1 from a score of 0.5).
 
-    The whole text counts: an n-gram is a feature if it is anywhere in it. Null and empty texts get the score of no
-    feature at all. Labels of documents in the held-out fold are not read. Null labels are left out; of contradicting ones the higher counts.
+    The whole text counts: an n-gram of code points in Unicode lower case is a feature if it is anywhere in it. Null and empty texts get the score of no
+    feature at all. A null doc_id is scored like any other (its fold is that of the empty text) and has no label. Labels of documents in the held-out fold are not read. Null labels are left out; of contradicting ones the higher counts.
     Without labels of both kinds every score is near 0 or near 1. Repeated rows are scored alike; an empty table gives no rows.
     """
     small_batches(docs.sparkSession)
