@@ -5,8 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 #: A word is a run of characters outside ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -17,9 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir; where that is unset, the context's checkpoint folder, or a temporary one (local tests)."""
+    """The folder that all executors share: spark.checkpoint.dir, or the context's checkpoint folder where that is unset. On a cluster it has to be set; a local session gets a temporary one."""
     context = spark.sparkContext
     where = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not where and not context.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set; it has to name a folder that driver and executors share")
     if not where:
         where = "file://" + tempfile.mkdtemp(prefix="orrery-")
     if context.getCheckpointDir() is None:
@@ -44,6 +48,11 @@ def numbered(df: DataFrame, order: list, name: str) -> DataFrame:
     return held.join(F.broadcast(ahead), "__part").withColumn(name, F.col("__ahead") + F.col("__nth")).drop("__part", "__nth", "__ahead")
 
 
+def arrow_type(df: DataFrame, column: str) -> pa.DataType:
+    """The Arrow type in which a column comes to Python and has to go back."""
+    return to_arrow_type(df.schema[column].dataType)
+
+
 def fold(column: str, folds: int):
     """The fold of a row: crc32 of the id as text, modulo folds; a null id is in the fold of the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % folds

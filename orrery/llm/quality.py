@@ -7,13 +7,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import small_batches, stored
+from orrery.llm.common import arrow_type, small_batches, stored
 from orrery.llm.textkit import pieces, prefix_hash, shingles, span_hash, word_hashes, word_spans
 
 SYMBOLS = "#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters")
-#: The forest: documents in its sample, trees, documents in a tree.
-SAMPLE, TREES, TREE_SAMPLE = 8192, 200, 256
+#: The forest: trees, documents in a tree.
+TREES, TREE_SAMPLE = 400, 256
 
 #: Shares of repeated lines and words that ordinary texts with a boilerplate line reach; the forest sees what is above.
 TOLERATED_DUP_LINES, TOLERATED_REPEATS = 0.3, 0.25
@@ -70,16 +70,16 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def usual(s: dict[str, np.ndarray]) -> tuple[float, float, float]:
-    """The fitted sample's characters a word, share of ASCII letters, and share of capitals among those."""
-    words, chars, letters = (max(1, int(s[c].sum())) for c in ("n_words", "word_chars", "n_letters"))
-    return chars / words, letters / chars, int(s["n_upper"].sum()) / letters
+def usual(words: int, chars: int, letters: int, upper: int) -> tuple[float, float, float]:
+    """Characters a word, share of ASCII letters, and share of capitals among those, from sums over all documents that pass the base rules."""
+    words, chars, letters = max(1, words), max(1, chars), max(1, letters)
+    return chars / words, letters / chars, upper / letters
 
 
 def features(s: dict[str, np.ndarray], prior: tuple[float, float, float]) -> np.ndarray:
     """What the forest sees (rows x features): rates, so that a text is not odd for its length alone.
 
-    Rates that vary by chance in short texts are drawn towards the sample's, as if PRIOR_WORDS usual words were added.
+    Rates that vary by chance in short texts are drawn towards those of all documents that pass the base rules, as if PRIOR_WORDS usual words were added.
     """
     words = np.maximum(s["n_words"], 1).astype(float)
     length, letters, upper = prior
@@ -148,7 +148,7 @@ def anomaly(x: np.ndarray, forest: list[tuple[np.ndarray, ...]], tree_sample: in
 
 def document_statistics(docs: DataFrame) -> DataFrame:
     """doc_id and the counts of each text, one row for each row of docs. Null and empty texts: zeros."""
-    schema = pa.schema([("doc_id", docs_id_type(docs)), *((c, pa.int64()) for c in COUNTS)])
+    schema = pa.schema([("doc_id", arrow_type(docs, "doc_id")), *((c, pa.int64()) for c in COUNTS)])
 
     def run(batches):
         for batch in batches:
@@ -156,16 +156,12 @@ def document_statistics(docs: DataFrame) -> DataFrame:
             parts = [statistics(data, offsets) for _, _, data, offsets in pieces(text)]
             if parts:
                 columns = [pa.array(np.concatenate([p[c] for p in parts]), pa.int64()) for c in COUNTS]
-                yield pa.RecordBatch.from_arrays([ids.cast(schema.field(0).type), *columns], schema=schema)
+                yield pa.RecordBatch.from_arrays([ids, *columns], schema=schema)
 
     kinds = ", ".join(["doc_id " + docs.schema["doc_id"].dataType.simpleString(), *(f"{c} long" for c in COUNTS)])
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, kinds)
 
 
-def docs_id_type(docs: DataFrame) -> pa.DataType:
-    return pa.string() if docs.schema["doc_id"].dataType.simpleString() == "string" else pa.int64()
-
-
 def calibrate(bins: list[tuple[int, int, int]], least_kept: float) -> float:
     """The anomaly score above which documents go, from (score bin of 1000, good, bad) of labelled rows.
 
@@ -190,14 +186,14 @@ def calibrate(bins: list[tuple[int, int, int]], least_kept: float) -> float:
     return ((at[0] + at[1]) / 2 + 1) / 1000
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, trees: int = TREES, tree_sample: int = TREE_SAMPLE, least_kept: float = 0.999, seed: int = 5) -> DataFrame:
+def quality_rules(docs: DataFrame, labels: DataFrame, trees: int = TREES, tree_sample: int = TREE_SAMPLE, least_kept: float = 0.999, seed: int = 5) -> DataFrame:
     """One row for each row of docs: doc_id, the counts of COUNTS, base_failed, anomaly (double) and kept.
 
     base_failed: fewer than 50 words, or more than half of the words in 3-word windows found twice or more in the text.
-    The isolation forest is fitted on a sample of about `sample` documents that pass the base rules, chosen by a
-    hash of the id (the bound is this parameter); path lengths over its random splits give the anomaly of every
+    The isolation forest's trees take tree_sample documents each from trees * tree_sample ones, chosen by a hash of the id among all
+    that pass the base rules; the rates that features are drawn towards are those of all that pass. Path lengths over the random splits give the anomaly of every
     document. The threshold is calibrated on all labelled rows (quality 1 good, 0 bad) that pass the base rules, from
-    counts in 1000 score bins.
+    counts in 1000 score bins; documents of the same anomaly share a verdict, and one at the threshold goes.
 
     Null text: no words, so it fails. Null labels are left out. Rows that labels repeats or contradicts count each time.
     Repeated documents are judged each for itself, alike. Empty tables: no rows; without labels the base rules alone decide.
@@ -206,15 +202,12 @@ def quality_rules(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, tree
     counts = stored(document_statistics(docs), "quality-counts")
     counts = counts.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
     passed = counts.filter("NOT base_failed")
-    there = passed.count()
-    chance = min(1.0, sample / max(1, there))
+    sums = passed.agg(F.count(F.lit(1)), *[F.sum(c) for c in ("n_words", "word_chars", "n_letters", "n_upper")]).first()
+    prior = usual(*(int(x or 0) for x in sums[1:]))
+    chance = min(1.0, trees * tree_sample / max(1, sums[0]))
     chosen = passed.filter(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) < int(chance * (1 << 30)))
     rows = chosen.select("doc_id", *COUNTS).toPandas().sort_values(["doc_id", *COUNTS])
-    forest, prior = None, (1.0, 1.0, 0.0)
-    if len(rows):
-        fitted = {c: rows[c].to_numpy() for c in COUNTS}
-        prior = usual(fitted)
-        forest = grow(features(fitted, prior), trees, tree_sample, seed)
+    forest = grow(features({c: rows[c].to_numpy() for c in COUNTS}, prior), trees, tree_sample, seed) if len(rows) else None
     size = min(tree_sample, max(1, len(rows)))
 
     def score(batches):

@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from orrery.llm import quality as q
@@ -47,6 +48,52 @@ def test_junk_goes_and_clean_stays(spark, documents):
     assert sum(got[i]["kept"] for i in range(400) if i % 20 <= 1) <= 2
 
 
+def test_verdicts_against_plain_ones(spark, documents):
+    r = random.Random(9)
+    texts = [" ".join("".join(r.choice("etaoinshrdlu") for _ in range(r.randint(2, 9))) + ("##" if i % 9 == 0 else "") for _ in range(r.randint(40, 120))) for i in range(150)]
+    docs = documents(texts)
+    labels = spark.createDataFrame([(i, int(i % 9 > 0)) for i in range(100)], "doc_id long, quality int")
+    got = {x["doc_id"]: x for x in q.quality_rules(docs, labels, trees=20, tree_sample=16).collect()}
+    passing = [i for i in sorted(got) if not got[i]["base_failed"]]
+    assert passing == [i for i, t in enumerate(texts) if plain(t)[0] >= 50]
+    total = {c: sum(got[i][c] for i in passing) for c in q.COUNTS}
+    prior = (total["word_chars"] / total["n_words"], total["n_letters"] / total["word_chars"], total["n_upper"] / total["n_letters"])
+    x = {i: q.features({c: np.array([got[i][c]]) for c in q.COUNTS}, prior)[0] for i in got}
+    chosen = {v["doc_id"] for v in docs.filter(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30)) < int(min(1, 320 / len(passing)) * (1 << 30))).collect()}
+    rows = sorted((i, *(got[i][c] for c in q.COUNTS)) for i in passing if i in chosen)
+    forest = q.grow(np.array([x[v[0]] for v in rows]), 20, 16, 5)
+
+    def path(v, tree):
+        feature, cut, child, length = tree
+        node = 0
+        while feature[node] >= 0:
+            node = child[node] + (v[feature[node]] > cut[node])
+        return length[node]
+
+    usual = 2 * (sum(1 / k for k in range(1, 16))) - 2 * 15 / 16
+    for i in got:
+        assert got[i]["anomaly"] == pytest.approx(2 ** (-sum(path(x[i], t) for t in forest) / 20 / usual), rel=0.02)
+    # the cut: at least 99.9 % of the good kept, best balanced accuracy
+    labelled = [(min(1000, int(got[i]["anomaly"] * 1000)), i % 9 > 0) for i in passing if i < 100]
+    good, bad = sum(g for _, g in labelled), sum(not g for _, g in labelled)
+    value = {c: (sum(g and b <= c for b, g in labelled) / good, sum(not g and b > c for b, g in labelled) / bad) for c in range(1001)}
+    best = max(a + b for a, b in value.values() if a >= 0.999)
+    kept = [got[i]["kept"] for i in passing if i < 100]
+    assert sum(k and g for k, (_, g) in zip(kept, labelled)) / good + sum(not k and not g for k, (_, g) in zip(kept, labelled)) / bad == pytest.approx(best)
+    highest = max(got[i]["anomaly"] for i in got if got[i]["kept"])
+    assert all(got[i]["kept"] == (got[i]["anomaly"] <= highest) for i in passing)
+
+
+def test_int_ids_and_long_text(spark, documents):
+    texts = ["word and other words " * 40, None, "many different words here " * 100_000]
+    for kind in ("int", "string", "short"):
+        docs = documents(texts).withColumn("doc_id", F.col("doc_id").cast(kind))
+        labels = spark.createDataFrame([(0, 1)], f"doc_id {kind}, quality int")
+        got = q.quality_rules(docs, labels)
+        assert got.schema["doc_id"].dataType.simpleString() == docs.schema["doc_id"].dataType.simpleString()
+        assert sorted(x["n_words"] for x in got.collect()) == [0, 160, 400_000]
+
+
 def test_odd_texts_and_no_labels(spark, documents, odd_texts):
     docs = documents(odd_texts + odd_texts).withColumns({"n_words": F.lit(1), "kept": F.lit(2)})
     none = spark.createDataFrame([], "doc_id long, quality int")
