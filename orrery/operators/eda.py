@@ -5,11 +5,12 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orrery.functions.text import missing
 from orrery.functions.vectors import doubles, norm
+from orrery.operators.lines import average_ranks, running
 
 NUMERIC = ("double", "float", "long", "integer", "short", "byte", "decimal")
 
@@ -88,12 +89,10 @@ def outlier_iqr(df: DataFrame, cols: list[str] | str, k: float = 1.5) -> DataFra
 
 
 def correlations(df: DataFrame, cols: list[str], method: str = "pearson") -> DataFrame:
-    """a, b, r for every ordered pair of columns, rounded to 4 digits; one pass. Spearman: pearson of average ranks."""
+    """a, b, r for every ordered pair of columns, rounded to 4 digits; one pass. Spearman: pearson of average ranks among the values that are not null."""
     if method == "spearman":
         for c in cols:
-            w = Window.orderBy(c)
-            same = Window.partitionBy(c)
-            df = df.withColumn(f"__{c}", F.rank().over(w)).withColumn(f"__{c}", F.col(f"__{c}") + (F.count(F.lit(1)).over(same) - 1) / 2)
+            df = df.join(average_ranks(df.filter(F.col(c).isNotNull()), c).withColumnRenamed("rank", f"__{c}"), c, "left")
         df = df.select(*[F.col(f"__{c}").alias(c) for c in cols])
     elif method != "pearson":
         raise ValueError(f"method {method} is not supported")
@@ -130,8 +129,8 @@ def noise_ratio(clusters: DataFrame, noise: int = -1) -> DataFrame:
 def lengths(df: DataFrame, text_col: str = "text") -> DataFrame:
     """length, n, ecdf of the text lengths."""
     counts = df.groupBy(F.length(F.coalesce(F.col(text_col), F.lit(""))).alias("length")).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.orderBy("length").rowsBetween(Window.unboundedPreceding, 0)
-    return counts.select("length", "n", (F.sum("n").over(w) / F.sum("n").over(Window.partitionBy())).alias("ecdf"))
+    size = counts.agg(F.sum("n").alias("all"))
+    return running(counts, ["length"], {"upto": "n"}).crossJoin(F.broadcast(size)).select("length", "n", (F.col("upto") / F.col("all")).alias("ecdf"))
 
 
 #: Names that a catalog may use. The embedding and clustering functions are added by their modules.

@@ -43,19 +43,26 @@ def blocks(rows: DataFrame, block_rows: int = BLOCK_ROWS, extra: str | None = No
 
 
 def paired(left: DataFrame, right: DataFrame | None = None) -> DataFrame:
-    """Each left block beside each right block: a row for each pair of blocks, joined by the block's number."""
+    """Each left block beside each right block.
+
+    Blocks lie on a grid of about the square root of their number: a left block goes to the cells of its row, a right one to those of its column, and a cell
+    joins what it has. So each vector is sent that many times, not once for each block of the other side; a cell's blocks are streamed and may spill.
+    """
     right = left if right is None else right
-    numbers = right.agg(F.array_sort(F.collect_set("block")).alias("all"))
-    a = left.select(*[F.col(c).alias(f"{c}_l") for c in left.columns]).crossJoin(F.broadcast(numbers)).withColumn("block_r", F.explode("all")).drop("all")
-    b = right.select(*[F.col(c).alias(f"{c}_r") for c in right.columns])
-    return a.join(b, "block_r")
+    side = right.agg(F.greatest(F.lit(1), F.ceil(F.sqrt(F.max("block") + 1)).cast("int")).alias("__side"))  # one row
+    cells = F.sequence(F.lit(0), F.col("__side") - 1)
+    a = left.select(*[F.col(c).alias(f"{c}_l") for c in left.columns]).crossJoin(F.broadcast(side))
+    a = a.withColumns({"__row": F.pmod("block_l", "__side"), "__column": F.explode(cells)}).drop("__side")
+    b = right.select(*[F.col(c).alias(f"{c}_r") for c in right.columns]).crossJoin(F.broadcast(side))
+    b = b.withColumns({"__row": F.explode(cells), "__column": F.pmod("block_r", "__side")}).drop("__side")
+    return a.hint("merge").join(b, ["__row", "__column"]).drop("__row", "__column")
 
 
 def knn_join(queries: DataFrame, base: DataFrame | None = None, k: int = 5, min_sim: float | None = None, block_rows: int = BLOCK_ROWS, digits: int = 6) -> DataFrame:
     """src, dst, rank, sim: the k most similar of base for each query (cosine rounded to digits; ties by dst), itself left out; then those of at least min_sim.
 
     Both sides are packed into blocks; each pair of blocks is one matrix product, which leaves k candidates for each query, and the
-    candidates of all blocks meet in a window. Nothing is broadcast but the list of block numbers. Zero vectors are similar to nothing (0).
+    candidates of all blocks meet in a window. Nothing is broadcast but the side of the grid. Zero vectors are similar to nothing (0).
     """
     q = queries.select("item_id", unit(doubles("vector")).alias("vector"))
     packed = blocks(q, block_rows)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orrery.operators.export import CLASS_LEVELS, canonical_class, has_any, stable_grade
+from orrery.operators.lines import codes
 
 #: Collections whose labels are the nine classes, and the levels' texts.
 NINE_CLASSES = ("CRC_VAL_HE_7K", "NCT_CRC_HE_100K", "MEDMNIST_PATHMNIST")
@@ -103,8 +104,7 @@ def with_levels(df: DataFrame, dataset_col: str = "dataset_key", label_col: str
 
 def keyed(df: DataFrame) -> DataFrame:
     """df with cluster_id (replaced): the place of its ontology path among the sorted paths."""
-    codes = df.select("ontology_path").distinct().withColumn("cluster_id", (F.row_number().over(Window.orderBy("ontology_path")) - 1).cast("int"))
-    return df.drop("cluster_id").join(codes, "ontology_path")
+    return df.drop("cluster_id").join(codes(df, "ontology_path", "cluster_id", "int"), "ontology_path")
 
 
 def majority_names(df: DataFrame, mixed: float = 0.55, noise: int = -1) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from orrery.operators.lines import codes
+
 
 def sample(df: DataFrame, id_col: str, n: int, seed: int = 1337) -> DataFrame:
     """n rows."""
@@ -34,8 +36,7 @@ def top_per_group(df: DataFrame, keys: list[str], order: list, n: int) -> DataFr
 
 def factorize(df: DataFrame, column: str, out: str) -> DataFrame:
     """Codes from 0 by the sorted values: ranked among the distinct values, joined back."""
-    codes = df.select(column).distinct().withColumn(out, (F.row_number().over(Window.orderBy(column)) - 1).cast("long"))
-    return df.join(codes, column)
+    return df.join(codes(df, column, out), column)
 
 
 def mode(df: DataFrame, key: str, column: str) -> DataFrame:

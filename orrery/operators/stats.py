@@ -4,21 +4,24 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from orrery.operators.lines import running
+
 
 def ks_two_sample(a: DataFrame, b: DataFrame, column: str = "x") -> DataFrame:
     """One row: n_a, n_b, statistic (largest distance of the two distribution functions), p_value (asymptotic); nulls below 10 values on a side.
 
-    Values are counted first, so that the running sums go over distinct values.
+    Values are counted first, so that the running sums go over distinct values, range by range.
     """
     finite = lambda d, i: d.select(F.col(column).cast("double").alias("x"), F.lit(1 - i).alias("a"), F.lit(i).alias("b")).filter("x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('Infinity')")
     x = finite(a, 0).union(finite(b, 1)).groupBy("x").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    total = Window.partitionBy()
-    run = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    d = x.select(F.abs(F.sum("a").over(run) / F.sum("a").over(total) - F.sum("b").over(run) / F.sum("b").over(total)).alias("d"), F.sum("a").over(total).alias("n_a"), F.sum("b").over(total).alias("n_b"))
-    one = d.agg(F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"), F.max("d").alias("d"))
+    size = x.agg(F.sum("a").alias("n_a"), F.sum("b").alias("n_b"))
+    d = running(x, ["x"], {"to_a": "a", "to_b": "b"}).crossJoin(F.broadcast(size)).select(F.abs(F.col("to_a") / F.col("n_a") - F.col("to_b") / F.col("n_b")).alias("d"))
+    one = size.crossJoin(d.agg(F.max("d").alias("d")))  # single rows
     n = F.sqrt(F.col("n_a") * F.col("n_b") / (F.col("n_a") + F.col("n_b")))
     t = (n + 0.12 + 0.11 / n) * F.col("d")
     tail = F.aggregate(F.sequence(F.lit(1), F.lit(100)), F.lit(0.0), lambda s, k: s + F.when(k % 2 == 1, 1.0).otherwise(-1.0) * F.exp(-2.0 * k * k * t * t))
@@ -41,18 +44,59 @@ def chi2_contingency(rows: DataFrame, a: str, b: str) -> DataFrame:
     return out.select(F.when((F.col("ka") > 1) & (F.col("kb") > 1), F.col("s")).alias("statistic"), ((F.col("ka") - 1) * (F.col("kb") - 1)).alias("dof"), "n")
 
 
+#: Strata that the rows of a permutation test are dealt to, and values that may take part (what an exact hypergeometric draw allows).
+STRATA, MOST_VALUES = 256, 10**9
+
+
 def permutation_test(a: DataFrame, b: DataFrame, column: str = "x", n_perm: int = 500, seed: int = 1337) -> DataFrame:
-    """One row: statistic (difference of means), p_value. Each value has a place in every permutation by a hash; the n_a lowest would need a sort for each,
-    so a value is on side a with probability n_a / n instead: sums for all permutations in one aggregate."""
-    both = a.select(F.col(column).cast("double").alias("x"), F.lit(1).alias("a")).union(b.select(F.col(column).cast("double"), F.lit(0))).filter("x IS NOT NULL AND NOT isnan(x)")
-    size = both.agg(F.sum("a").alias("n_a"), F.count(F.lit(1)).alias("n"), (F.avg(F.when(F.col("a") == 1, F.col("x"))) - F.avg(F.when(F.col("a") == 0, F.col("x")))).alias("statistic"))
-    keyed = both.withColumn("id", F.xxhash64("x", "a", F.monotonically_increasing_id())).crossJoin(F.broadcast(size))
-    draws = keyed.select("x", "n_a", "n", F.explode(F.sequence(F.lit(1), F.lit(n_perm))).alias("p"), "id")
-    side = F.pmod(F.xxhash64("id", "p", F.lit(seed)), F.lit(1 << 30)) < F.col("n_a") / F.col("n") * (1 << 30)
-    per = draws.groupBy("p").agg((F.avg(F.when(side, F.col("x"))) - F.avg(F.when(~side, F.col("x")))).alias("d"))
-    hits = per.crossJoin(F.broadcast(size)).agg(F.sum((F.abs("d") >= F.abs("statistic")).cast("long")).alias("h"), F.first("statistic").alias("statistic"), F.first("n_a").alias("n_a"), (F.first("n") - F.first("n_a")).alias("n_b"))
-    enough = (F.col("n_a") >= 10) & (F.col("n_b") >= 10)
-    return hits.select("n_a", "n_b", F.when(enough, F.col("statistic")).alias("statistic"), F.when(enough, (F.col("h") + 1) / (n_perm + 1)).alias("p_value"))
+    """One row: statistic (difference of means), p_value over n_perm shufflings of the labels, each of which leaves both sides their sizes.
+
+    A shuffling puts n_a of all values on side a, every such choice being equally likely. The values lie in strata by a hash; how many of each stratum are
+    chosen is a multivariate hypergeometric draw on the driver (strata x n_perm numbers), and within a stratum its different values draw in turn
+    from what is left. So nothing is copied for a permutation, and each task holds one batch. Nulls and NaN are left out; nulls for the figures
+    below 10 values on a side. From 10^9 values on there is no exact draw: ValueError.
+    """
+    both = a.select(F.col(column).cast("double").alias("x"), F.lit(1).alias("a")).unionAll(b.select(F.col(column).cast("double"), F.lit(0))).filter("x IS NOT NULL AND NOT isnan(x)")
+    counts = both.groupBy("x").agg(F.sum("a").alias("a"), F.count(F.lit(1)).alias("n")).withColumn("stratum", F.pmod(F.xxhash64("x"), F.lit(STRATA)).cast("int"))
+    held = counts.groupBy("stratum").agg(F.sum("n"), F.sum("a"), F.sum(F.col("x") * F.col("a")), F.sum(F.col("x") * (F.col("n") - F.col("a")))).orderBy("stratum").collect()  # at most STRATA rows
+    sizes = np.array([r[1] for r in held], np.int64)
+    n, n_a = int(sizes.sum()), int(sum(r[2] for r in held))
+    spark, schema = a.sparkSession, "n_a long, n_b long, statistic double, p_value double"
+    if n >= MOST_VALUES:
+        raise ValueError(f"{n} values, at most {MOST_VALUES - 1}")
+    if n_a < 10 or n - n_a < 10:
+        return spark.createDataFrame([(n_a, n - n_a, None, None)], schema)
+    sum_a, sum_b = sum(r[3] for r in held), sum(r[4] for r in held)
+    rng = np.random.default_rng(seed)
+    rest, need, chosen = n, np.full(n_perm, n_a), {}
+    for r in held:
+        rest -= int(r[1])
+        chosen[r[0]] = rng.hypergeometric(int(r[1]), rest, need)
+        need = need - chosen[r[0]]
+    rows_in = {r[0]: int(r[1]) for r in held}
+
+    def draw(batches):
+        left: dict[int, int] = dict(rows_in)
+        want = {k: v.copy() for k, v in chosen.items()}
+        sums = np.zeros(n_perm)
+        generators = {k: np.random.default_rng([seed, k]) for k in chosen}
+        for batch in batches:
+            x, count, stratum = (batch.column(i).to_numpy() for i in range(3))
+            for value, times, k in zip(x.tolist(), count.tolist(), stratum.tolist(), strict=True):
+                # of the stratum's values that are left, `times` are this one
+                left[k] -= times
+                got = generators[k].hypergeometric(times, left[k], want[k])
+                want[k] -= got
+                sums += value * got
+        yield pa.RecordBatch.from_pydict({"p": np.arange(n_perm), "s": sums})
+
+    spread = counts.select("x", "n", "stratum").repartition("stratum").sortWithinPartitions("stratum", "x")
+    per = spread.mapInArrow(draw, "p long, s double").groupBy("p").agg(F.sum("s").alias("s"))
+    shuffled = F.col("s") / n_a - (F.lit(sum_a + sum_b) - F.col("s")) / (n - n_a)
+    statistic = sum_a / n_a - sum_b / (n - n_a)
+    # sums of floats in another order differ in the last digits
+    hits = per.agg(F.sum((F.abs(shuffled) >= F.lit(abs(statistic) * (1 - 1e-12))).cast("long")).alias("h"))
+    return hits.select(F.lit(n_a).cast("long").alias("n_a"), F.lit(n - n_a).cast("long").alias("n_b"), F.lit(statistic).alias("statistic"), ((F.col("h") + 1) / (n_perm + 1)).alias("p_value"))
 
 
 def effective_rank(values: DataFrame, column: str = "s") -> DataFrame:

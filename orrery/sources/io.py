@@ -63,9 +63,11 @@ def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; where that is unset, the context's checkpoint folder, or a temporary one (local runs)."""
+    """spark.checkpoint.dir, or the context's checkpoint folder where that is unset. On a cluster it has to be set; a local session gets a temporary one."""
     context = spark.sparkContext
     where = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not where and not context.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set; it has to name a folder that driver and executors share")
     if not where:
         where = "file://" + tempfile.mkdtemp(prefix="orrery-")
     if context.getCheckpointDir() is None:

@@ -374,3 +374,62 @@ def test_exports_hold_whole_texts(spark, tmp_path):
         assert sorted(got) == sorted(result.fetchall())
     nodes = catalog.queries()["export_nodes_whole"](spark, str(tmp_path)).filter("`:LABEL` = 'ITEM'")
     assert {r["name"]: r["description"] for r in nodes.collect()} == {str(i): t or "" for i, t in enumerate(texts)}
+
+
+def test_permutations_keep_the_sizes_of_both_sides(spark):
+    """All 252 choices of 5 of 10 values (each twice) by brute force, against many shufflings."""
+    import itertools
+
+    a, b = [1.0, 2.0, 3.0, 4.0, 9.0] * 2, [2.0, 5.0, 6.0, 7.0, 8.0] * 2
+    values = a + b
+    frame = lambda v: spark.createDataFrame([(x,) for x in v], "x double")
+    r = stats.permutation_test(frame(a), frame(b), n_perm=4000).first()
+    gap = abs(sum(a) / 10 - sum(b) / 10)
+    total = sum(values)
+    draws = [sum(c) for c in itertools.combinations(values, 10)]
+    exact = sum(abs(s / 10 - (total - s) / 10) >= gap - 1e-9 for s in draws) / len(draws)
+    assert (r["n_a"], r["n_b"]) == (10, 10) and r["statistic"] == pytest.approx(-(gap))
+    assert r["p_value"] == pytest.approx(exact, abs=0.03)
+    assert stats.permutation_test(frame(a), frame(b), n_perm=50).first() == stats.permutation_test(frame(a).repartition(3), frame(b), n_perm=50).first()
+    # equal sides: no shuffling is closer
+    assert stats.permutation_test(frame(a), frame(a), n_perm=50).first()["p_value"] == 1.0
+    assert stats.permutation_test(frame(a[:3]), frame(b)).first()["p_value"] is None
+
+
+def test_running_sums_over_ranges(spark):
+    from orrery.operators.lines import average_ranks, codes, running
+
+    rows = [(float(i * 7 % 50), i) for i in range(300)] + [(None, 1)]
+    df = spark.createDataFrame(rows, "x double, n int").repartition(3)
+    distinct = df.groupBy("x").agg(F.sum("n").alias("n"))
+    got = sorted(((r["x"], r["upto"]) for r in running(distinct, ["x"], {"upto": "n"}).collect()), key=lambda t: (t[0] is not None, t[0]))
+    total, want = 0, []
+    for x in [None, *sorted({r[0] for r in rows if r[0] is not None})]:
+        total += sum(n for v, n in rows if v == x)
+        want.append((x, total))
+    assert got == want
+    assert [r[1] for r in sorted(((r["x"], r["code"]) for r in codes(df.filter("x IS NOT NULL"), "x", "code").collect()))] == list(range(50))
+    ranks = {r["x"]: r["rank"] for r in average_ranks(df.filter("x IS NOT NULL"), "x").collect()}
+    assert ranks[0.0] == 3.5 and ranks[49.0] == 297.5
+    assert codes(df.limit(0), "x", "code").collect() == []
+
+
+def test_every_pair_of_blocks_meets_once(spark):
+    from orrery.operators.knn import paired
+
+    left = spark.createDataFrame([(i,) for i in range(11)], "block int")
+    right = spark.createDataFrame([(i,) for i in range(7)], "block int")
+    assert sorted(map(tuple, paired(left, right).select("block_l", "block_r").collect())) == [(i, j) for i in range(11) for j in range(7)]
+    assert sorted(map(tuple, paired(left).select("block_l", "block_r").collect())) == [(i, j) for i in range(11) for j in range(11)]
+
+
+def test_recall_of_the_approximate_join(spark):
+    r = np.random.default_rng(8)
+    centres = r.normal(size=(40, 16))
+    rows = [(i, (centres[i % 40] + r.normal(scale=0.1, size=16)).tolist()) for i in range(400)]
+    df = spark.createDataFrame(rows, "item_id long, vector array<double>")
+    v = np.array([x for _, x in rows])
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    true = {(i, j) for i, j in zip(*np.nonzero(v @ v.T >= 0.9)) if i < j}
+    got = {(x["src"], x["dst"]) for x in knn.approximate_join(df, 0.9).collect()}
+    assert len(true) > 1000 and got <= true | {p for p in got if (v @ v.T)[p] > 0.9 - 1e-6} and len(got & true) >= 0.9 * len(true)
