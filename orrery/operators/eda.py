@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import inspect
 import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orrery.functions.text import missing
 from orrery.functions.vectors import doubles, norm
+from orrery.operators.kendall import kendall
 from orrery.operators.lines import average_ranks, running
 
 NUMERIC = ("double", "float", "long", "integer", "short", "byte", "decimal")
@@ -88,8 +91,18 @@ def outlier_iqr(df: DataFrame, cols: list[str] | str, k: float = 1.5) -> DataFra
     return out.select("col", "n", enough("f").alias("outlier_frac"), enough("a").alias("lo"), enough("b").alias("hi"))
 
 
-def correlations(df: DataFrame, cols: list[str], method: str = "pearson") -> DataFrame:
-    """a, b, r for every ordered pair of columns, rounded to 4 digits; one pass. Spearman: pearson of average ranks among the values that are not null."""
+def numeric_columns(df: DataFrame, leave_out: tuple[str, ...] = ("item_id",)) -> list[str]:
+    """The columns of numbers."""
+    return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType) and f.name not in leave_out]
+
+
+def correlations(df: DataFrame, cols: list[str] | None = None, method: str = "pearson") -> DataFrame:
+    """a, b, r for every ordered pair of columns (all of numbers where none are given), rounded to 4 digits; one pass. Kendall: tau-b, a pair of columns at a time. Spearman: pearson of average ranks among the values that are not null."""
+    cols = numeric_columns(df) if cols is None else cols
+    if method == "kendall":
+        found = [(a, b, kendall(df, a, b)) for i, a in enumerate(cols) for b in cols[i:]]
+        found += [(b, a, r) for a, b, r in found if a != b]
+        return df.sparkSession.createDataFrame([(a, b, None if r is None else round(r, 4)) for a, b, r in found], "a string, b string, r double")
     if method == "spearman":
         for c in cols:
             df = df.join(average_ranks(df.filter(F.col(c).isNotNull()), c).withColumnRenamed("rank", f"__{c}"), c, "left")
@@ -102,8 +115,9 @@ def correlations(df: DataFrame, cols: list[str], method: str = "pearson") -> Dat
     return one.select(F.explode(F.array(*rows)).alias("p")).select("p.*")
 
 
-def group_stats(df: DataFrame, group_col: str, cols: list[str]) -> DataFrame:
+def group_stats(df: DataFrame, group_col: str = "label", cols: list[str] | None = None) -> DataFrame:
     """group, col, count, mean, std (sample), rounded to 4 digits; rows without a group are left out."""
+    cols = numeric_columns(df, ("item_id", group_col)) if cols is None else cols
     x = long_form(df.filter(F.col(group_col).isNotNull()), cols, (group_col,)).filter("x IS NOT NULL AND NOT isnan(x)")
     return x.groupBy(F.col(group_col).alias("group"), "col").agg(F.count("x").alias("count"), F.round(F.avg("x"), 4).alias("mean"), F.round(F.stddev_samp("x"), 4).alias("std"))
 
@@ -149,6 +163,32 @@ FUNCTIONS: dict[str, Callable[..., DataFrame]] = {
 }
 
 
+#: Arguments of a catalog file, and what they are called here.
+CATALOG_ARGUMENTS = {"col": "cols", "n_components": "k", "sample_pairs": "pairs", "feature_cols": "cols"}
+
+
+def read_catalog(path: str) -> list[dict]:
+    """The items {name, fn, inputs, kwargs} of a YAML catalog {items: [...]}; an item without a name or function is an error."""
+    import yaml
+
+    with open(path) as f:
+        found = (yaml.safe_load(f) or {}).get("items") or []
+    for item in found:
+        if not item.get("name") or not item.get("fn"):
+            raise ValueError(f"an item without name or fn: {item}")
+    return found
+
+
+def bound(fn: Callable[..., DataFrame], inputs: dict[str, DataFrame], kwargs: dict) -> DataFrame:
+    """fn over tables and arguments: those that it knows by name, other tables in the order in which they are given to the parameters that are left, arguments by CATALOG_ARGUMENTS."""
+    known = list(inspect.signature(fn).parameters)
+    named = {k: v for k, v in inputs.items() if k in known}
+    named |= {k if k in known else CATALOG_ARGUMENTS.get(k, k): v for k, v in kwargs.items()}
+    free = [p for p in known if p not in named]
+    named |= dict(zip(free, [v for k, v in inputs.items() if k not in known], strict=False))
+    return fn(**named)
+
+
 def run_catalog(items: list[dict], tables: dict[str, DataFrame], include: set[str] | None = None, functions: dict[str, Callable[..., DataFrame]] | None = None) -> list[tuple[str, str, DataFrame | str]]:
     """(name, status, result or reason) for each item {name, fn, inputs: argument -> table, kwargs}.
 
@@ -165,7 +205,7 @@ def run_catalog(items: list[dict], tables: dict[str, DataFrame], include: set[st
             out.append((item["name"], "skipped", f"no function {item['fn']}"))
             continue
         try:
-            out.append((item["name"], "ok", fn(**{a: tables[t] for a, t in item.get("inputs", {}).items()}, **item.get("kwargs", {}))))
+            out.append((item["name"], "ok", bound(fn, {a: tables[t] for a, t in (item.get("inputs") or {}).items()}, item.get("kwargs") or {})))
         except Exception as error:  # one item's failure is its result
             out.append((item["name"], "error", f"{type(error).__name__}: {error}"))
     return out

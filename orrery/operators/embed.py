@@ -170,8 +170,14 @@ def pair_cosine_stats(rows: DataFrame, pairs: int = 2000, seed: int = 1337) -> D
     return cosine_summary(x)
 
 
-def all_pair_cosine_stats(rows: DataFrame, block_rows: int = 2048) -> DataFrame:
-    """The same over all unordered pairs, exactly; for tables of a few thousand rows."""
+#: Rows whose pairs are all looked at, at most.
+MOST_ALL_PAIRS = 20_000
+
+
+def all_pair_cosine_stats(rows: DataFrame) -> DataFrame:
+    """The same over all unordered pairs, exactly; ValueError for a table of over MOST_ALL_PAIRS rows, for which pair_cosine_stats is there."""
+    if rows.limit(MOST_ALL_PAIRS + 1).count() > MOST_ALL_PAIRS:
+        raise ValueError(f"over {MOST_ALL_PAIRS} rows")
     x = rows.select("item_id", doubles("vector").alias("v"))
     pairs = x.select(F.col("item_id").alias("p"), F.col("v").alias("a")).crossJoin(x.select(F.col("item_id").alias("q"), F.col("v").alias("b"))).filter("p < q")
     return cosine_summary(pairs.select(cosine("a", "b").alias("s")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, Window
@@ -230,3 +232,28 @@ def cross_references(cents: DataFrame, keywords: DataFrame, states: DataFrame, t
     near = near.filter(F.col("kind").isNotNull() | (F.col("rank") <= top)).withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= top)
     weight = F.when(F.col("kind").isNull(), F.col("half")).otherwise(0.8 * F.col("half") + 0.2 * F.col("jac"))
     return near.select("src", "dst", F.coalesce("kind", F.lit("ASSOCIATED_WITH")).alias("relation_type"), F.round(weight, 6).alias("weight"), F.col("sim").alias("similarity"))
+
+
+def json_call(call, prompt: str, attempts: int = 3, pause: float = 1.0, sleep=time.sleep) -> dict:
+    """The JSON object in what call(prompt) answers: the answer itself or its outermost braces. A failure is tried again after a pause that grows each time.
+
+    RuntimeError with the last cause after `attempts` failures.
+    """
+    last: Exception | None = None
+    for attempt in range(1, attempts + 1):
+        try:
+            answer = (call(prompt) or "").strip()
+            inner = answer[answer.find("{") : answer.rfind("}") + 1]
+            for candidate in (answer, inner):
+                try:
+                    found = json.loads(candidate)
+                except ValueError:
+                    continue
+                if isinstance(found, dict):
+                    return found
+            raise ValueError("no JSON object in the answer")
+        except Exception as error:  # whatever the service throws
+            last = error
+            if attempt < attempts:
+                sleep(pause * attempt)
+    raise RuntimeError(f"no answer after {attempts} attempts: {last}") from last

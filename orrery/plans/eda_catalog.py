@@ -22,10 +22,12 @@ def label_purity(members: DataFrame, items: DataFrame) -> DataFrame:
     return clusters.purity(clusters.composition(members, items), None)
 
 
-def metrics(members: DataFrame) -> DataFrame:
-    """One row: silhouette, Davies-Bouldin, Calinski-Harabasz."""
+def metrics(members: DataFrame, clusters_of: DataFrame | None = None) -> DataFrame:
+    """One row: silhouette, Davies-Bouldin, Calinski-Harabasz of members with their clusters, or of vectors and the clusters beside them."""
     from pyspark.sql import functions as F
 
+    if clusters_of is not None:
+        members = members.drop("cluster_id").join(clusters_of.select("item_id", "cluster_id"), "item_id")
     return clusters.silhouette(members).agg(F.avg("silhouette").alias("silhouette")).crossJoin(clusters.davies_bouldin(members)).crossJoin(clusters.calinski_harabasz(members))
 
 

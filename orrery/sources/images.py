@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import struct
+import zlib
 from collections.abc import Callable
 
 import numpy as np
@@ -21,7 +22,7 @@ def class_in_path(path: Column) -> Column:
 
 
 def split_of(key: Column) -> Column:
-    """test for keys that contain VAL or end in _7K, else train."""
+    """val for keys that contain VAL or end in _7K, else train."""
     name = F.upper(key)
     return F.when(name.contains("VAL") | name.endswith("_7K"), "val").otherwise("train")
 
@@ -112,7 +113,101 @@ def histogram_vector(rgb: np.ndarray, bins: int = 16) -> np.ndarray:
     return v / max(1e-12, float(np.linalg.norm(v)))
 
 
-def features_of(images: DataFrame, decode: Callable[[bytes], np.ndarray]) -> DataFrame:
+#: A PNG's first bytes, and samples a pixel of its colour types.
+PNG_HEAD, PNG_SAMPLES = b"\x89PNG\r\n\x1a\n", {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}
+
+
+def decode_png(data: bytes) -> np.ndarray:
+    """height x width x 3 bytes of a PNG of 8 or 16 bits a sample or a palette, not interlaced; transparency is left out. ValueError for anything else."""
+    if data[:8] != PNG_HEAD:
+        raise ValueError("not a PNG")
+    at, chunks, palette = 8, [], None
+    width = height = depth = colour = 0
+    while at + 8 <= len(data):
+        size, kind = struct.unpack(">I4s", data[at : at + 8])
+        body = data[at + 8 : at + 8 + size]
+        at += size + 12
+        if kind == b"IHDR":
+            width, height, depth, colour, _, _, interlaced = struct.unpack(">IIBBBBB", body)
+            if interlaced or colour not in PNG_SAMPLES or depth not in (8, 16) and colour != 3 or depth > 8 and colour == 3:
+                raise ValueError("a kind of PNG that is not read here")
+        elif kind == b"PLTE":
+            palette = np.frombuffer(body, np.uint8).reshape(-1, 3)
+        elif kind == b"IDAT":
+            chunks.append(body)
+    samples = PNG_SAMPLES[colour]
+    step = max(1, samples * depth // 8)
+    stride = -(-width * samples * depth // 8)
+    lines = np.frombuffer(zlib.decompress(b"".join(chunks)), np.uint8).reshape(height, stride + 1)
+    out = np.zeros((height + 1, stride), np.uint8)
+    for y in range(height):
+        out[y + 1] = unfiltered(int(lines[y, 0]), lines[y, 1:], out[y], step)
+    pixels = out[1:]
+    if depth == 16:
+        pixels = pixels[:, ::2]
+    elif depth < 8:
+        bits = np.unpackbits(pixels, axis=1).reshape(height, -1, depth)[:, :width]
+        pixels = bits @ (1 << np.arange(depth - 1, -1, -1))
+    pixels = pixels.reshape(height, width, samples)
+    if colour == 3:
+        return palette[pixels[..., 0]]
+    return np.repeat(pixels[..., :1], 3, axis=2) if samples < 3 else pixels[..., :3]
+
+
+def unfiltered(kind: int, line: np.ndarray, above: np.ndarray, step: int) -> np.ndarray:
+    """A line of a PNG without its filter: each byte was written as a difference to its neighbours."""
+    if kind == 0:
+        return line
+    if kind == 2:
+        return line + above
+    if kind == 1:  # to the pixel on the left: running sums of each sample
+        padded = np.zeros(-(-len(line) // step) * step, np.uint8)
+        padded[: len(line)] = line
+        return np.cumsum(padded.reshape(-1, step), axis=0, dtype=np.uint8).ravel()[: len(line)]
+    raw, up = line.tolist(), above.tolist()
+    made = [0] * step + raw
+    up = [0] * step + up
+    for i in range(step, len(made)):
+        left, top, corner = made[i - step], up[i], up[i - step]
+        if kind == 3:
+            guess = (left + top) // 2
+        elif kind == 4:
+            by = (abs(top - corner), abs(left - corner), abs(left + top - 2 * corner))
+            guess = (left, top, corner)[by.index(min(by))]
+        else:
+            raise ValueError("unknown filter")
+        made[i] = (made[i] + guess) & 255
+    return np.array(made[step:], np.uint8)
+
+
+def histogram_embeddings(images: DataFrame, decode: Callable[[bytes], np.ndarray] = decode_png, bins: int = 16, model_id: str = "rgb_histogram") -> DataFrame:
+    """item_id, modality `image`, model_id, dim, vector: histogram_vector() of images (item_id, content). Images that cannot be decoded have a vector of zeros."""
+    dim = 3 * bins + 6
+
+    def run(frames):
+        for f in frames:
+            vectors = []
+            for data in f["content"]:
+                try:
+                    vectors.append(histogram_vector(decode(bytes(data)), bins).astype(np.float32))
+                except Exception:  # a broken image has no colours
+                    vectors.append(np.zeros(dim, np.float32))
+            yield pd.DataFrame({"item_id": f["item_id"], "vector": vectors})
+
+    kind = images.schema["item_id"].dataType.simpleString()
+    made = images.select("item_id", "content").mapInPandas(run, f"item_id {kind}, vector array<float>")
+    return made.select("item_id", F.lit("image").alias("modality"), F.lit(model_id).alias("model_id"), F.lit(dim).cast("long").alias("dim"), "vector")
+
+
+def contents(spark: SparkSession, items: DataFrame) -> DataFrame:
+    """item_id, content: the files of items (item_id, image_path), read in the tasks."""
+    folders = items.select(F.regexp_replace("image_path", r"[^/]*$", "").alias("f")).distinct()
+    paths = [r[0] for r in folders.collect()]  # a row for each folder
+    files = spark.read.format("binaryFile").option("pathGlobFilter", ENDINGS).load(paths)
+    return files.select(F.col("path").alias("image_path"), "content").join(items.select("item_id", "image_path"), "image_path").select("item_id", "content")
+
+
+def features_of(images: DataFrame, decode: Callable[[bytes], np.ndarray] = decode_png) -> DataFrame:
     """item_id, morph_error and pixel_features() of images (item_id, content); decode: bytes -> height x width x 3. Images that it fails on have error 1 and nulls."""
     names = list(pixel_features(np.zeros((4, 4, 3), np.uint8)))
 

@@ -433,3 +433,165 @@ def test_recall_of_the_approximate_join(spark):
     true = {(i, j) for i, j in zip(*np.nonzero(v @ v.T >= 0.9)) if i < j}
     got = {(x["src"], x["dst"]) for x in knn.approximate_join(df, 0.9).collect()}
     assert len(true) > 1000 and got <= true | {p for p in got if (v @ v.T)[p] > 0.9 - 1e-6} and len(got & true) >= 0.9 * len(true)
+
+
+def test_kendall_against_all_pairs(spark):
+    from orrery.operators.kendall import kendall
+
+    r = np.random.default_rng(5)
+    x, y = r.integers(0, 12, 300), r.integers(0, 9, 300)
+    y = np.where(r.random(300) < 0.5, x // 2, y)
+    sign = np.sign(x[:, None] - x[None]) * np.sign(y[:, None] - y[None])
+    tied = lambda v: ((v[:, None] == v[None]).sum() - 300) / 2
+    every = 300 * 299 / 2
+    want = sign.sum() / 2 / ((every - tied(x)) * (every - tied(y))) ** 0.5
+    df = spark.createDataFrame([(int(a), int(b)) for a, b in zip(x, y)] + [(None, 1), (2, None)], "a int, b int")
+    assert kendall(df, "a", "b", 3) == pytest.approx(want)
+    assert kendall(df.withColumn("c", F.lit(1)), "a", "c") is None and kendall(df.limit(0), "a", "b") is None
+    got = {(t["a"], t["b"]): t["r"] for t in eda.correlations(df, method="kendall").collect()}
+    assert got["a", "b"] == got["b", "a"] == round(want, 4) and got["a", "a"] == 1.0
+
+
+def test_catalog_from_yaml(spark, tmp_path):
+    from orrery.plans import eda_catalog
+
+    text = """
+items:
+- {name: h, fn: numeric_hist, inputs: {morph: morph_df}, kwargs: {col: a, bins: 4}}
+- {name: c, fn: morph_corr, inputs: {morph: morph_df}, kwargs: {method: spearman}}
+- {name: g, fn: morph_group_stats, inputs: {morph: morph_df}}
+- {name: n, fn: embedding_nn_distance_stats, inputs: {emb: fused_df}, kwargs: {k: 2}}
+- {name: v, fn: embedding_pca_variance, inputs: {emb: fused_df}, kwargs: {n_components: 2}}
+- {name: p, fn: cluster_label_purity, inputs: {items: items_df, clusters: clusters_df}}
+- {name: m, fn: clustering_metrics, inputs: {fused: fused_df, clusters: clusters_df}}
+- {name: u, fn: nothing_known}
+- {name: e, fn: label_distribution, inputs: {items: absent_df}}
+"""
+    (tmp_path / "c.yaml").write_text(text)
+    v = [[1.0, 0.0, 0.1], [0.9, 0.1, 0.0], [0.0, 1.0, 0.2], [0.1, 0.9, 0.0]]
+    tables = {
+        "morph_df": frame(spark, [(str(i), "x" if i < 2 else "y", float(i), float(i * i)) for i in range(4)], "item_id string, label string, a double, b double"),
+        "fused_df": frame(spark, [(str(i), v[i]) for i in range(4)], "item_id string, vector array<double>"),
+        "items_df": frame(spark, [(str(i), "xy"[i // 2]) for i in range(4)], "item_id string, label string"),
+        "clusters_df": frame(spark, [(str(i), i // 2) for i in range(4)], "item_id string, cluster_id int"),
+    }
+    got = {n: (status, result) for n, status, _, result in eda.evaluated(eda.read_catalog(str(tmp_path / "c.yaml")), tables, None, eda_catalog.FUNCTIONS)}
+    assert {n: s for n, (s, _) in got.items()} == {**dict.fromkeys("hcgnvpm", "ok"), "u": "skipped", "e": "error"}, got
+    assert '"r":1.0' in got["c"][1] and '"purity":1.0' in got["p"][1].replace(" ", "")
+
+
+def test_json_call_tries_again():
+    answers, pauses = iter([RuntimeError("busy"), "no braces", 'so: {"a": {"b": 1}} and on']), []
+
+    def call(_):
+        x = next(answers)
+        if isinstance(x, Exception):
+            raise x
+        return x
+
+    assert links.json_call(call, "p", 3, 2.0, pauses.append) == {"a": {"b": 1}} and pauses == [2.0, 4.0]
+    with pytest.raises(RuntimeError, match="after 2 attempts: no JSON"):
+        links.json_call(lambda _: "[1]", "p", 2, 0, pauses.append)
+
+
+def test_run_state_log_and_health(spark, tmp_path):
+    from orrery.runtime import Run, Unhealthy
+
+    run = Run(spark, str(tmp_path / "run"))
+    assert run.state().collect() == [] and not run.done("one")
+    with run.step("one", stage="s", rows=3):
+        pass
+    with pytest.raises(ValueError), run.step("two"):
+        raise ValueError("broken")
+    again = Run(spark, str(tmp_path / "run"))
+    assert again.done("one") and not again.done("two")
+    last = {r["step"]: r for r in again.state().collect()}
+    assert last["two"]["status"] == "error" and "broken" in last["two"]["detail"] and last["one"]["duration_s"] >= 0
+    assert again.health_check({"t": 1}, ["t"], [str(tmp_path)])["free_gb"] > 0
+    with pytest.raises(Unhealthy, match="no table u; no path"):
+        again.health_check({}, ["u"], [str(tmp_path / "absent")])
+
+
+def test_stages_run_again_for_other_inputs(spark, tmp_path):
+    runs = []
+
+    def double(t):
+        runs.append(1)
+        return {"out": t["in"].select((F.col("x") * 2).alias("x"))}
+
+    stage = stages.Stage("s", ["in"], ["out"], double)
+    path = str(tmp_path / "in")
+    spark.range(3).withColumnRenamed("id", "x").write.parquet(path)
+    go = lambda df: sorted(r[0] for r in stages.run(spark, [stage], {"in": df}, str(tmp_path / "root"))[0]["out"].collect())
+    assert go(spark.read.parquet(path)) == go(spark.read.parquet(path)) == [0, 2, 4] and len(runs) == 1
+    assert go(spark.read.parquet(path).filter("x > 0")) == [2, 4] and len(runs) == 2
+    spark.range(5, 7).withColumnRenamed("id", "x").write.mode("overwrite").parquet(path)
+    assert go(spark.read.parquet(path)) == [10, 12] and len(runs) == 3
+    memory = spark.createDataFrame([(1,), (2,)], "x long")
+    assert go(memory) == go(spark.createDataFrame([(2,), (1,)], "x long")) == [2, 4] and len(runs) == 4
+    assert go(spark.createDataFrame([(3,)], "x long")) == [6] and len(runs) == 5
+
+
+def png(pixels, colour, depth=8, palette=None, filters=(0, 1, 2, 3, 4)):
+    """A PNG written line by line with the filters in turn."""
+    import struct
+    import zlib
+
+    def chunk(kind, body):
+        return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+
+    height, width = pixels.shape[:2]
+    raw = pixels.reshape(height, -1).astype(">u2" if depth == 16 else np.uint8).view(np.uint8).reshape(height, -1).astype(int)
+    step = raw.shape[1] // width
+    out, above = b"", np.zeros(raw.shape[1], int)
+    for y, line in enumerate(raw):
+        left, corner = np.append(np.zeros(step, int), line)[: len(line)], np.append(np.zeros(step, int), above)[: len(line)]
+        p = left + above - corner
+        by = np.abs(np.stack([p - left, p - above, p - corner]))
+        paeth = np.choose(by.argmin(0), [left, above, corner])
+        kind = filters[y % len(filters)]
+        out += bytes([kind]) + ((line - [0 * line, left, above, (left + above) // 2, paeth][kind]) % 256).astype(np.uint8).tobytes()
+        above = line
+    head = struct.pack(">IIBBBBB", width, height, depth, colour, 0, 0, 0)
+    extra = chunk(b"PLTE", palette.astype(np.uint8).tobytes()) if palette is not None else b""
+    return images.PNG_HEAD + chunk(b"IHDR", head) + extra + chunk(b"IDAT", zlib.compress(out)) + chunk(b"IEND", b"")
+
+
+def test_png_and_image_operators(spark, tmp_path):
+    r = np.random.default_rng(1)
+    rgb = r.integers(0, 256, (11, 7, 3))
+    assert (images.decode_png(png(rgb, 2)) == rgb).all()
+    rgba = r.integers(0, 256, (6, 5, 4))
+    assert (images.decode_png(png(rgba, 6)) == rgba[..., :3]).all()
+    gray = r.integers(0, 256, (5, 9, 1))
+    assert (images.decode_png(png(gray, 0)) == gray).all()
+    deep = r.integers(0, 1 << 16, (5, 4, 3))
+    assert (images.decode_png(png(deep, 2, 16)) == deep >> 8).all()
+    palette, index = r.integers(0, 256, (9, 3)), r.integers(0, 9, (4, 6, 1))
+    assert (images.decode_png(png(index, 3, 8, palette)) == palette[index[..., 0]]).all()
+    for broken in (b"", b"GIF89a", png(rgb, 2)[:60]):
+        with pytest.raises(Exception):
+            images.decode_png(broken)
+    (tmp_path / "a.png").write_bytes(png(rgb, 2))
+    (tmp_path / "b.png").write_bytes(b"broken")
+    items = frame(spark, [(n, f"file:{tmp_path}/{n}.png") for n in "ab"], "item_id string, image_path string")
+    found = images.contents(spark, items)
+    vectors = {x["item_id"]: x for x in images.histogram_embeddings(found).collect()}
+    assert np.allclose(vectors["a"]["vector"], images.histogram_vector(rgb), atol=1e-6) and vectors["a"]["dim"] == 54 and not any(vectors["b"]["vector"])
+    features = {x["item_id"]: x for x in images.features_of(found).collect()}
+    assert features["a"]["mean_r"] == pytest.approx(rgb[..., 0].mean()) and features["b"]["morph_error"] == 1 and features["b"]["mean_r"] is None
+
+
+def test_density_sweep_gives_a_row_for_each_setting(spark):
+    r = np.random.default_rng(2)
+    centres = r.normal(size=(3, 6)) * 5
+    rows_ = [(str(i), (centres[i % 3] + r.normal(scale=0.05, size=6)).tolist()) for i in range(45)]
+    members, labels = frame(spark, rows_, "item_id string, vector array<double>"), frame(spark, [(str(i), f"l{i % 3}") for i in range(45)], "item_id string, label string")
+    got = cl.density_sweep(members, labels, [2], [5], [4], [3], 0.8)
+    best = cl.best_run(got).first()
+    assert got.count() == 1 and best["purity"] == 1.0 and best["n_clusters"] >= 2
+
+
+def test_load_script_has_a_statement_for_each_relation():
+    script = export.load_script(["IN_CLUSTER", "SIMILAR_TO"])
+    assert script.count("LOAD CSV") == 3 and script.index("CONSTRAINT") < script.index("LOAD CSV") and "MERGE (s)-[x:`SIMILAR_TO`]->(t)" in script
