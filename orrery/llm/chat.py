@@ -12,15 +12,14 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from orrery.llm.common import small_batches
+from orrery.llm.common import arrow_type, small_batches
 
 #: Reserved ids, above the ids of the vocabulary.
 TURN_START, TURN_END = "<|im_start|>", "<|im_end|>"
 START_ID, END_ID = 50257, 50258
 
-FORMATTED = "conv_id long, part int, input_ids array<int>, loss_mask array<byte>"
-
 
 @cache
 def encoding(path: str):
@@ -66,27 +65,42 @@ def rows(batches, *names):
         yield from zip(*(batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names), strict=True)
 
 
+def spread_turns(conversations: DataFrame, part_ids: int) -> DataFrame:
+    """Rows of conv_id, turn, role, text sorted within partitions, with `at`, the partition's number.
+
+    A conversation is in one partition, but for those with more than 4 * part_ids bytes of text: these are dealt over consecutive partitions by
+    turn, role and the beginning of the text, so that none is one task's work however long it is. The order within and along partitions is that of whole texts.
+    """
+    columns = ["conv_id", "turn", "role", "text"]
+    rows = conversations.select(*columns)
+    sizes = rows.groupBy(F.col("conv_id").alias("__large")).agg(F.sum(F.octet_length("text")).alias("__bytes"))
+    large = sizes.filter(F.col("__bytes") > 4 * part_ids).select("__large", F.lit(True).alias("__split"))
+    marked = rows.join(large, F.col("conv_id").eqNullSafe(F.col("__large")), "left")
+    within = [F.when(F.col("__split"), c) for c in (F.col("turn"), F.substring("role", 1, 32), F.substring("text", 1, 32))]
+    ranged = marked.repartitionByRange("conv_id", *within).sortWithinPartitions(*columns)
+    return ranged.select(*columns, F.spark_partition_id().alias("at"))
+
+
 def format_chat(
     conversations: DataFrame,
     vocabulary: str = public_tokenizers.path("byte_bpe_50k.tiktoken"),
     learned_roles: tuple[str, ...] = ("assistant",),
     part_ids: int = 1 << 20,
 ) -> DataFrame:
-    """One row for each conversation: conv_id, part 0, input_ids, loss_mask; a conversation over part_ids ids goes on in further parts.
+    """One row for each conversation: conv_id, part, input_ids, loss_mask; a conversation over part_ids ids goes on in further parts, which ascend.
 
     A turn is START_ID, the role, a line end, the text, END_ID, a line end. Role and text are escaped, each is encoded
     for itself as ordinary text, and the reserved ids are spliced in between, so that content never
     yields a reserved id. The mask covers the text of learned roles, nothing else.
 
     Turns are read in the order of turn, role, text within a partition sorted by conversation; only the
-    current part is held, so a conversation of any length needs bounded memory. Null text or role: empty.
+    current part is held, so a conversation of any length needs bounded memory, and a long one is several tasks' work. Null text or role: empty.
     Rows without a turn come first. Rows without conv_id form a conversation with a null id. Equal turns are kept in the order
     of role and text. Other columns are ignored. Empty table: no rows.
     """
     small_batches(conversations.sparkSession)
-    columns = ["conv_id", "turn", "role", "text"]
-    spread = conversations.select(*columns).repartition("conv_id").sortWithinPartitions(*columns)
-    schema = pa.schema([("conv_id", pa.int64()), ("part", pa.int32()), ("input_ids", pa.list_(pa.int32())), ("loss_mask", pa.list_(pa.int8()))])
+    spread = spread_turns(conversations, part_ids)
+    schema = pa.schema([("conv_id", arrow_type(conversations, "conv_id")), ("part", pa.int64()), ("input_ids", pa.list_(pa.int32())), ("loss_mask", pa.list_(pa.int8()))])
 
     def run(batches):
         enc = encoding(vocabulary)
@@ -103,9 +117,9 @@ def format_chat(
 
         begun = False
         waiting = 0
-        for conv, _, role, text in rows(batches, *columns):
+        for conv, _, role, text, at in rows(batches, "conv_id", "turn", "role", "text", "at"):
             if begun and conv != current or size >= part_ids:
-                ready.append((current, part, *assemble(segments)))
+                ready.append((current, (at << 32) + part, *assemble(segments)))
                 waiting += size
                 part, segments, size = (0 if conv != current else part + 1), [], 0
                 if waiting > 4 * part_ids or len(ready) >= 4096:
@@ -116,52 +130,77 @@ def format_chat(
             segments += [(start, False), (encode(escape_role(role or "")), False), (newline, False), (body, (role or "") in learned_roles), (end, False), (newline, False)]
             size += sum(len(s) for s, _ in segments[-6:])
         if begun:
-            ready.append((current, part, *assemble(segments)))
+            ready.append((current, (at << 32) + part, *assemble(segments)))
         if ready:
             yield batch()
 
-    return spread.mapInArrow(run, FORMATTED)
+    return spread.mapInArrow(run, f"conv_id {kind_of(conversations)}, part long, input_ids array<int>, loss_mask array<byte>")
 
 
-def read_back(formatted: DataFrame, vocabulary: str = public_tokenizers.path("byte_bpe_50k.tiktoken")) -> DataFrame:
-    """The digest of each formatted conversation, from its ids and mask alone."""
-    kinds = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_ids long, n_loss_ids long"
-    spread = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "part")
-    schema = pa.schema([(k, pa.string() if t == "string" else pa.int64()) for k, t in (x.split() for x in kinds.split(", "))])
+def kind_of(df: DataFrame) -> str:
+    return df.schema["conv_id"].dataType.simpleString()
+
+
+#: What is counted of a part, and in sum of a conversation.
+COUNTS = ("n_turns", "loss_chars", "formatted_chars", "n_ids", "n_loss_ids")
+
+
+def decoded_parts(formatted: DataFrame, vocabulary: str) -> DataFrame:
+    """conv_id, part, turns and loss (the bytes that the digests are of), and COUNTS of each part, read from its ids and mask alone."""
+    kinds = [("part", pa.int64()), ("turns", pa.binary()), ("loss", pa.binary()), *((c, pa.int64()) for c in COUNTS)]
+    schema = pa.schema([("conv_id", arrow_type(formatted, "conv_id")), *kinds])
 
     def run(batches):
         enc = encoding(vocabulary)
+        for batch in batches:
+            out = []
+            for conv, part, ids, mask in zip(*(batch.column(batch.schema.get_field_index(n)) for n in ("conv_id", "part", "input_ids", "loss_mask")), strict=True):
+                ids, mask = ids.values.to_numpy(), mask.values.to_numpy()
+                turns, spoken_texts, shown = [], [], 0
+                for a, b in zip(np.flatnonzero(ids == START_ID), np.flatnonzero(ids == END_ID), strict=True):
+                    turn = enc.decode_bytes(ids[a + 1 : b].tolist()).decode()
+                    role, _, text = turn.partition("\n")
+                    turns.append(f"{unescape_role(role)}\n{unescape(text)}\n")
+                    shown += len(TURN_START) + len(turn) + len(TURN_END) + 1
+                    spoken = ids[a:b][mask[a:b] > 0]
+                    if len(spoken):
+                        spoken_texts.append(unescape(enc.decode_bytes(spoken.tolist()).decode()))
+                said = "".join(spoken_texts)
+                out.append((conv.as_py(), part.as_py(), "".join(turns).encode(), said.encode(), len(turns), len(said), shown, len(ids), int(mask.sum())))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(schema)], schema=schema)
+
+    return formatted.mapInArrow(run, f"conv_id {kind_of(formatted)}, part long, turns binary, loss binary, " + ", ".join(f"{c} long" for c in COUNTS))
+
+
+def read_back(formatted: DataFrame, vocabulary: str = public_tokenizers.path("byte_bpe_50k.tiktoken")) -> DataFrame:
+    """The digest of each formatted conversation, from its ids and mask alone.
+
+    Parts are decoded where they lie; a conversation's bytes then meet in one task, which only hashes them, part by part.
+    """
+    parts = decoded_parts(formatted, vocabulary).repartition("conv_id").sortWithinPartitions("conv_id", "part")
+    names = ("n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_ids", "n_loss_ids")
+    schema = pa.schema([("conv_id", arrow_type(formatted, "conv_id")), *((n, pa.string() if n.endswith("sha256") else pa.int64()) for n in names)])
+
+    def run(batches):
         out, state, current = [], None, None
 
         def close():
-            out.append((current, state[0], state[1].hexdigest(), state[2], state[3].hexdigest(), state[4], state[5], state[6]))
+            counts = dict(zip(COUNTS, state[2], strict=True)) | {"turns_sha256": state[0].hexdigest(), "loss_sha256": state[1].hexdigest()}
+            out.append((current, *(counts[n] for n in names)))
 
         def flush():
             made = pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(schema)], schema=schema)
             out.clear()
             return made
 
-        for batch in batches:
-            for conv, ids, mask in zip(*(batch.column(batch.schema.get_field_index(n)) for n in ("conv_id", "input_ids", "loss_mask")), strict=True):
-                conv, ids, mask = conv.as_py(), ids.values.to_numpy(), mask.values.to_numpy()
-                if state is None or conv != current:
-                    if state is not None:
-                        close()
-                    current, state = conv, [0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0, 0]
-                state[5] += len(ids)
-                state[6] += int(mask.sum())
-                starts, ends = np.flatnonzero(ids == START_ID), np.flatnonzero(ids == END_ID)
-                for a, b in zip(starts, ends, strict=True):
-                    turn = enc.decode_bytes(ids[a + 1 : b].tolist()).decode()
-                    role, _, text = turn.partition("\n")
-                    state[0] += 1
-                    state[1].update(f"{unescape_role(role)}\n{unescape(text)}\n".encode())
-                    state[4] += len(TURN_START) + len(turn) + len(TURN_END) + 1
-                    spoken = ids[a:b][mask[a:b] > 0]
-                    if len(spoken):
-                        said = unescape(enc.decode_bytes(spoken.tolist()).decode())
-                        state[2] += len(said)
-                        state[3].update(said.encode())
+        for conv, turns, loss, *counts in rows(batches, "conv_id", "turns", "loss", *COUNTS):
+            if state is None or conv != current:
+                if state is not None:
+                    close()
+                current, state = conv, [hashlib.sha256(), hashlib.sha256(), [0] * len(COUNTS)]
+            state[0].update(turns)
+            state[1].update(loss)
+            state[2] = [a + b for a, b in zip(state[2], counts, strict=True)]
             if len(out) >= 4096:
                 yield flush()
         if state is not None:
@@ -169,4 +208,4 @@ def read_back(formatted: DataFrame, vocabulary: str = public_tokenizers.path("by
         if out:
             yield flush()
 
-    return spread.mapInArrow(run, kinds)
+    return parts.mapInArrow(run, f"conv_id {kind_of(formatted)}, " + ", ".join(f"{n} {'string' if n.endswith('sha256') else 'long'}" for n in names))

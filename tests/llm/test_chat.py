@@ -65,3 +65,27 @@ def test_reserved_ids_come_from_the_template_alone(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.read_back(chat.format_chat(df)).collect() == []
+
+
+def test_a_long_conversation_is_several_tasks_work(spark):
+    r = random.Random(5)
+    rows = [(9, t % 97, r.choice(["user", "assistant"]), f"{CONTROL} {t} " + "long " * r.randint(0, 60)) for t in range(600)]
+    rows += [(c, t, "assistant", f"short {t}") for c in range(9) for t in range(3)] + [(9, None, None, None)] * 3
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        made = chat.format_chat(df, part_ids=500).cache()
+        tasks = {(x["conv_id"], x["part"] >> 32) for x in made.collect()}
+        got = {tuple(x)[:6] for x in chat.read_back(made).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len([t for c, t in tasks if c == 9]) > 3 and all(len([1 for x, _ in tasks if x == c]) == 1 for c in range(9))
+    assert got == plain(rows)
+
+
+def test_ids_of_any_type(spark):
+    rows = [("b", 0, "user", "u"), ("a", 0, "user", CONTROL), ("a", 1, "assistant", "v")]
+    df = spark.createDataFrame(rows, "conv_id string, turn int, role string, text string")
+    assert {tuple(x)[:6] for x in chat.read_back(chat.format_chat(df)).collect()} == plain(rows)
+    small = spark.createDataFrame([(1, 0, "user", "u")], "conv_id int, turn int, role string, text string")
+    assert chat.read_back(chat.format_chat(small)).schema["conv_id"].dataType.simpleString() == "int"
