@@ -14,6 +14,8 @@ from orrery.llm.textkit import group_starts, grouped, mix, pieces, power, prefix
 
 #: Bytes of a repeated string, of an anchor in it, and of the regions in a shard's suffix array.
 LENGTH, ANCHOR, SHARD_BYTES = 400, 64, 1 << 21
+#: Regions that are broadcast because very many texts have them are fewer than this.
+MOST_HOT = 10_000
 _PLACE = 30  # bits of a position beside a hash
 
 
@@ -338,6 +340,19 @@ def merged_marks(blobs: DataFrame, length: int) -> DataFrame:
     return blobs.select("anchor", "slice", "prints", "places").mapInArrow(run, "anchor long, region_key long, starts array<long>, ends array<long>")
 
 
+def in_repeated(found: DataFrame, repeated: DataFrame, most: int = MOST_HOT) -> DataFrame:
+    """Rows of found whose region is one of repeated (anchor, region_key, copies).
+
+    Regions with more than 1 / most of all copies, fewer than `most` of them at any size, are looked up in a broadcast, so that a region in very many
+    texts is not one task's work; the other rows meet theirs by key.
+    """
+    keys = ["anchor", "region_key"]
+    every = repeated.agg(F.sum("copies")).first()[0] or 0
+    hot = F.broadcast(repeated.filter(F.col("copies") * most > every).select(*keys))  # fewer than `most` rows of two numbers
+    rest = repeated.filter(F.col("copies") * most <= every).select(*keys)
+    return found.join(hot, keys, "left_semi").unionByName(found.join(hot, keys, "left_anti").join(rest, keys, "left_semi"))
+
+
 def removed_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """doc_id, text_key (xxhash64 of the text) and spans: the byte runs of each text that are covered by a string of `length` bytes that starts anywhere else too. Texts without such are left out."""
     found = stored(anchored(docs, length, anchor), "anchors")
@@ -347,7 +362,7 @@ def removed_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, s
     sums = counted.groupBy("anchor").agg(*per_anchor).filter("__all > 1")
     kinds = stored(counted.join(sums, "anchor"), "regions")
     # a region that is there as a whole twice or more is removed everywhere; one of its copies stands for it in the suffix arrays
-    whole = found.join(kinds.filter("copies > 1").select("anchor", "region_key"), ["anchor", "region_key"], "left_semi")
+    whole = in_repeated(found, kinds.filter("copies > 1"))
     whole = whole.select("doc_id", "text_key", F.array("begin").alias("starts"), F.array(F.col("begin") + F.col("windows") + (length - 1)).alias("ends"))
     shards = kinds.filter("__kinds > 1").withColumn("subs", F.ceil(F.col("__bytes") / shard_bytes).cast("int"))
     several = shards.select(

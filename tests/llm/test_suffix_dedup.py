@@ -109,3 +109,16 @@ def test_int_ids_and_long_texts(spark, documents):
         assert got.schema["doc_id"].dataType.simpleString() == kind
         assert sorted((int(x[0]), *x[1:]) for x in map(tuple, got.collect())) == want
     assert [w[2] > 0 for w in want] == [True, True, True, False]
+
+
+def test_regions_in_very_many_texts(spark):
+    """Some regions hold most copies, others a few; both ways give the rows of a plain semi-join, for any bound."""
+    r = random.Random(16)
+    rows = [(r.choice([1, 1, 1, 2, 3, 4, 5, 6]), k, i) for i, k in enumerate(r.choices([7, 8, 9], k=400))]
+    found = spark.createDataFrame(rows, "anchor long, region_key long, begin long")
+    kinds = found.groupBy("anchor", "region_key").agg(F.count(F.lit(1)).alias("copies")).filter("anchor <> 6")
+    want = sorted(x for x in rows if x[0] != 6)
+    for most in (1, 5, 20, 10_000):
+        assert kinds.filter(F.col("copies") * most > sum(1 for x in rows if x[0] != 6)).count() < max(most, 1)
+        assert sorted(map(tuple, sd.in_repeated(found, kinds, most).select("anchor", "region_key", "begin").collect())) == want
+    assert sd.in_repeated(found, kinds.limit(0)).count() == 0
