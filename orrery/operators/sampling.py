@@ -1,4 +1,4 @@
-"""Samples that are the same in every run: rows in the order of a hash of their id and a seed."""
+"""Samples that are the same in every run: rows in the order of the md5 of their id, a colon and a seed, which SQL can name too."""
 
 from __future__ import annotations
 
@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 from orrery.operators.lines import codes
 
 
+def by_hash(id_col: str, seed: int) -> list:
+    """The order of a sample."""
+    return [F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(f":{seed}")).cast("binary")), F.col(id_col)]
+
+
 def sample(df: DataFrame, id_col: str, n: int, seed: int = 1337) -> DataFrame:
     """n rows."""
-    return df.orderBy(F.xxhash64(id_col, F.lit(seed)), id_col).limit(n)
+    return df.orderBy(*by_hash(id_col, seed)).limit(n)
 
 
 def stratified(df: DataFrame, id_col: str, label_col: str, n: int, seed: int = 1337) -> DataFrame:
@@ -21,7 +26,7 @@ def stratified(df: DataFrame, id_col: str, label_col: str, n: int, seed: int = 1
 
 def per_group(df: DataFrame, id_col: str, group_col: str, n: int, seed: int = 1337) -> DataFrame:
     """n rows of each group at most."""
-    w = Window.partitionBy(group_col).orderBy(F.xxhash64(id_col, F.lit(seed)), id_col)
+    w = Window.partitionBy(group_col).orderBy(*by_hash(id_col, seed))
     return df.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= n).drop("__r")
 
 

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orrery.plans import q_cluster, q_eda, q_graph, q_model
+from orrery.plans import q_cluster, q_eda, q_graph, q_model, q_tables
 
-MODULES = (q_eda, q_cluster, q_graph, q_model)
+MODULES = (q_eda, q_cluster, q_graph, q_model, q_tables)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -197,9 +197,7 @@ add("latest_per_key", lambda s, d: sampling.first_by_order(table(s, d, "events")
 add("factorize", lambda s, d: sampling.factorize(items(s, d), "source", "code").select("item_id", "code"), f"WITH {ITEMS} SELECT item_id, dense_rank() OVER (ORDER BY source) - 1 AS code FROM items")
 add("group_mode", lambda s, d: sampling.mode(items(s, d), "source", "label"), f"WITH {ITEMS}, c AS (SELECT source, label AS mode, count(*) AS n FROM items GROUP BY ALL) SELECT source, mode, n FROM c QUALIFY row_number() OVER (PARTITION BY source ORDER BY n DESC, mode) = 1")
 add("top_per_group", lambda s, d: sampling.top_per_group(table(s, d, "orders"), ["o_custkey"], [F.desc("o_totalprice"), "o_orderkey"], 3).select("o_custkey", "o_orderkey", "rank"), "SELECT o_custkey, o_orderkey, CAST(row_number() OVER w AS INTEGER) AS rank FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) QUALIFY rank <= 3")
-add("stratified_sample", lambda s, d: sampling.stratified(items(s, d), "item_id", "label", 100).groupBy("label").agg(F.count(F.lit(1)).alias("n")))
 add("per_group_cap", lambda s, d: sampling.per_group(items(s, d), "item_id", "source", 5).groupBy("source").agg(F.count(F.lit(1)).alias("n")), f"WITH {ITEMS} SELECT source, least(count(*), 5) AS n FROM items GROUP BY 1")
-add("simple_sample", lambda s, d: sampling.sample(items(s, d), "item_id", 64).select("item_id"))
 
 
 def catalog_status(s, d):

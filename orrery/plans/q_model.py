@@ -62,8 +62,10 @@ add(
     f"WITH {FUSED}, {ITEMS} SELECT i.item_id, round(coalesce(sqrt(list_inner_product(vector, vector)), 0), 6) AS norm FROM items i LEFT JOIN (SELECT * FROM fused WHERE label <> 'L1') f ON f.item_id = i.item_id",
 )
 KS = "WITH x AS (SELECT n_chars AS x, CASE WHEN lang = 'en' THEN 1 ELSE 0 END AS a, CASE WHEN lang = 'fr' THEN 1 ELSE 0 END AS b FROM documents WHERE lang IN ('en', 'fr')), c AS (SELECT x, sum(a) AS a, sum(b) AS b FROM x GROUP BY 1), r AS (SELECT abs(sum(a) OVER (ORDER BY x) / sum(a) OVER () - sum(b) OVER (ORDER BY x) / sum(b) OVER ()) AS d, sum(a) OVER () AS na, sum(b) OVER () AS nb FROM c)"
+KS_P = """, o AS (SELECT max(na) AS na, max(nb) AS nb, max(d) AS d, sqrt(max(na) * max(nb) / (max(na) + max(nb))) AS n FROM r), t AS (SELECT *, (n + 0.12 + 0.11 / n) * d AS t FROM o)
+SELECT CAST(na AS BIGINT) AS n_a, CAST(nb AS BIGINT) AS n_b, round(d, 6) AS statistic, round(CASE WHEN t < 0.04 THEN 1 ELSE least(1, greatest(0, 2 * (SELECT sum((CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END) * exp(-2.0 * k * k * t * t)) FROM range(1, 101) u(k)))) END, 6) AS p_value FROM t"""
 lang = lambda s, d, l: table(s, d, "documents").filter(F.col("lang") == l).select(F.col("n_chars").alias("x"))  # noqa: E731, E741
-add("ks_two_sample", lambda s, d: rounded(stats.ks_two_sample(lang(s, d, "en"), lang(s, d, "fr")).select("n_a", "n_b", "statistic"), ["statistic"]), KS + " SELECT CAST(max(na) AS BIGINT) AS n_a, CAST(max(nb) AS BIGINT) AS n_b, round(max(d), 6) AS statistic FROM r")
+add("ks_two_sample", lambda s, d: rounded(stats.ks_two_sample(lang(s, d, "en"), lang(s, d, "fr")).select("n_a", "n_b", "statistic", "p_value"), ["statistic", "p_value"]), KS + KS_P)
 add(
     "chi2_contingency",
     lambda s, d: rounded(stats.chi2_contingency(items(s, d), "source", "label"), ["statistic"], 4),

@@ -27,7 +27,9 @@ def flat(df: DataFrame) -> DataFrame:
 
 
 def save_csv(df: DataFrame, path: str) -> None:
-    flat(df).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """Values as they are: white space at their ends stays."""
+    spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    flat(df).write.mode("overwrite").options(header=True, escape='"', **spaces).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
