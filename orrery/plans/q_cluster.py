@@ -202,6 +202,17 @@ add(
     SELECT CAST(src AS BIGINT) AS src, CAST(dst AS BIGINT) AS dst, coalesce(kind, 'ASSOCIATED_WITH') AS relation_type, round(round(CASE WHEN kind IS NULL THEN half ELSE 0.8 * half + 0.2 * jac END, 6), 5) AS weight FROM o WHERE nth <= 3""",
 )
 
+def stable_groups(s, d):
+    """Vectors drawn apart by their label: the most stable clusters are the labels."""
+    apart = F.concat(vx.unit("vector"), F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: (i == F.col("cluster_id")).cast("double") * 3))
+    return density.stable_clusters(fused(s, d).select("item_id", apart.alias("vector")), 3, 12, 8, levels=4)
+
+
+add(
+    "stable_clusters",
+    stable_groups,
+    f"WITH {FUSED}, g AS (SELECT cluster_id AS c, count(*) AS n, min(item_id) AS least FROM fused GROUP BY 1), c AS (SELECT c, CAST(row_number() OVER (ORDER BY n DESC, least) - 1 AS INTEGER) AS k FROM g) SELECT item_id, k AS cluster_id FROM fused JOIN c ON c = cluster_id",
+)
 add(
     "density_clusters",
     lambda s, d: density.density_clusters(fused(s, d), 1.16, 3, 4, 6),
