@@ -220,14 +220,14 @@ def sweep(members: DataFrame, labels: DataFrame, ks: list[int], seeds: list[int]
     return reduce(DataFrame.unionByName, rows)
 
 
-def density_sweep(members: DataFrame, labels: DataFrame, dims: list[int], neighbours: list[int], min_cluster_sizes: list[int], min_samples: list[int], cut: float) -> DataFrame:
+def density_sweep(members: DataFrame, labels: DataFrame, dims: list[int], neighbours: list[int], min_cluster_sizes: list[int], min_samples: list[int], cut: float | None = None, levels: int = 16) -> DataFrame:
     """A row of evaluate() for each setting of projection and density: run_idx, dims, neighbours, min_cluster_size, min_samples and the figures; best_run takes its choice from them.
 
-    Vectors are projected once for each number of dimensions.
+    Clusters are the flat cut at `cut`, or without one the most stable of the hierarchy at `levels` cuts. Vectors are projected once for each number of dimensions.
     """
     from itertools import product
 
-    from orrery.operators.density import density_clusters
+    from orrery.operators.density import density_clusters, stable_clusters
     from orrery.operators.embed import principal
     from orrery.sources.io import ensure_checkpoint_dir
 
@@ -236,7 +236,8 @@ def density_sweep(members: DataFrame, labels: DataFrame, dims: list[int], neighb
     projected = {d: principal(members, d).checkpoint() for d in dims}
     rows, schema = [], None
     for i, (d, k, size, samples) in enumerate(product(dims, neighbours, min_cluster_sizes, min_samples)):
-        found = density_clusters(projected[d], cut, samples, size, k).checkpoint()
+        found = stable_clusters(projected[d], samples, size, k, levels) if cut is None else density_clusters(projected[d], cut, samples, size, k)
+        found = found.checkpoint()
         one = evaluate(projected[d].join(found, "item_id"), composition(found, labels))
         schema = "run_idx int, dims int, neighbours int, min_cluster_size int, min_samples int, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in one.schema)
         rows.append((i, d, k, size, samples, *one.first()))  # a row for each setting

@@ -32,7 +32,7 @@ add(
     k AS (SELECT term, sum(tf) AS total, count(*) AS df FROM c GROUP BY 1 ORDER BY total DESC, term LIMIT 200), v AS (SELECT id, term, tf, tf * (ln((1 + (SELECT count(*) FROM conversations)) / (1 + df)) + 1) AS v FROM c JOIN k USING (term))
     SELECT id, term, tf, round(v / sqrt(sum(v * v) OVER (PARTITION BY id)), 5) AS tfidf FROM v""",
 )
-add("tfidf_svd", lambda s, d: embed.tfidf_svd(table(s, d, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("item_id"), "text"), dims=8, max_features=128).select("item_id", F.size("vector").alias("dim")))
+add("tfidf_svd", lambda s, d: embed.tfidf_svd(table(s, d, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("item_id"), "text"), dims=8, max_features=128).select("item_id", F.transform("vector", lambda x: F.round(F.abs(x), 5)).alias("vector")))
 add(
     "standardise",
     lambda s, d: embed.numeric_vectors(table(s, d, "part").withColumn("item_id", F.col("p_partkey").cast("string")), "item_id", ["p_size", "p_retailprice"]).select("item_id", "dim", F.round(F.col("vector")[0], 5).alias("a"), F.round(F.col("vector")[1], 5).alias("b")),

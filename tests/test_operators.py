@@ -595,3 +595,32 @@ def test_density_sweep_gives_a_row_for_each_setting(spark):
 def test_load_script_has_a_statement_for_each_relation():
     script = export.load_script(["IN_CLUSTER", "SIMILAR_TO"])
     assert script.count("LOAD CSV") == 3 and script.index("CONSTRAINT") < script.index("LOAD CSV") and "MERGE (s)-[x:`SIMILAR_TO`]->(t)" in script
+
+
+def test_tfidf_svd_against_numpy(spark):
+    r = np.random.default_rng(6)
+    terms = [f"w{i}" for i in range(12)]
+    docs = frame(spark, [(f"d{i:02d}", " ".join(r.choice(terms, 9))) for i in range(30)], "item_id string, text string")
+    cells = embed.tfidf(docs, max_features=12, most=1).collect()
+    a = np.zeros((30, 12))
+    for x in cells:
+        a[int(x["id"][1:]), terms.index(x["term"])] = x["tfidf"]
+    want = a @ np.linalg.svd(a, full_matrices=False)[2][:4].T
+    want /= np.linalg.norm(want, axis=1)[:, None]
+    got = np.array([x["vector"] for x in embed.tfidf_svd(docs, dims=4, max_features=12, most=1).orderBy("item_id").collect()])
+    assert np.allclose(got @ got.T, want @ want.T, atol=1e-6)  # axes are free in sign, cosines are not
+
+
+def test_explained_variance_against_numpy(spark):
+    x = np.random.default_rng(7).normal(size=(60, 5)) * [5, 3, 2, 1, 0.5]
+    got = embed.explained_variance(frame(spark, [(i, v.tolist()) for i, v in enumerate(x)], "item_id long, vector array<double>"), 5).orderBy("component").collect()
+    ratio = np.sort(np.linalg.eigvalsh(np.cov(x.T)))[::-1]
+    assert np.allclose([g["ratio"] for g in got], ratio / ratio.sum()) and abs(got[-1]["cumulative"] - 1) < 1e-9
+
+
+def test_density_sweep_without_a_cut(spark):
+    r = np.random.default_rng(9)
+    members = frame(spark, [(f"n{i:02d}", (np.eye(3)[i % 3] + r.normal(scale=0.02, size=3)).tolist()) for i in range(36)], "item_id string, vector array<double>")
+    labels = frame(spark, [(f"n{i:02d}", f"g{i % 3}") for i in range(36)], "item_id string, label string")
+    one = cl.density_sweep(members, labels, [2], [6], [8], [3], levels=3).first()
+    assert (one["n_clusters"], one["noise_ratio"], one["purity"]) == (3, 0.0, 1.0)
