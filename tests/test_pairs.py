@@ -5,7 +5,7 @@ import math
 import numpy as np
 import pytest
 
-from orrery.operators import pairs
+from orrery.operators import knn, pairs
 
 
 def plain(rows):
@@ -55,3 +55,42 @@ def test_all_pairs_with_nan(spark):
     rows = [("a", [1.0, 0.0]), ("b", [0.0, 1.0]), ("c", [math.nan, 1.0]), ("d", [1.0, 1.0])]
     got = pairs.all_pair_cosine_stats(spark.createDataFrame(rows, "item_id string, vector array<double>")).first()
     assert got["pairs"] == 6 and got["cos_min"] == 0 and math.isnan(got["cos_max"]) and math.isnan(got["cos_mean"]) and math.isnan(got["cos_p99"])
+
+
+def test_buckets_that_save_nothing_are_not_joined(spark):
+    r = np.random.default_rng(6)
+    rows = [(str(i), x) for i, x in enumerate(r.normal(size=(300, 16)).tolist())] + [("z", [0.0] * 16)]
+    df = spark.createDataFrame(rows, "item_id string, vector array<double>")
+    found = knn.approximate_join(df, 0.4)
+    assert "DATASETA" not in found._jdf.queryExecution().toString().upper()
+    want = {(min(p, q), max(p, q)): s for i, (p, a) in enumerate(rows) for q, b in rows[i + 1 :] if (s := np.dot(a, b) / max(1e-12, np.linalg.norm(a) * np.linalg.norm(b))) >= 0.4}
+    got = {(x["src"], x["dst"]): x["sim"] for x in found.collect()}
+    assert len(want) > 1000 and got == pytest.approx(want)
+
+
+def test_buckets_that_save_work_are_joined(spark):
+    r = np.random.default_rng(7)
+    angle = r.random(2000) * 2 * math.pi
+    df = spark.createDataFrame([(i, [math.cos(t), math.sin(t)]) for i, t in enumerate(angle.tolist())], "item_id long, vector array<double>")
+    found = knn.approximate_join(df, 0.999999, 2, 0.01)
+    assert "DATASETA" in found._jdf.queryExecution().toString().upper()
+    i, j = np.triu_indices(2000, 1)
+    near = np.cos(angle[i] - angle[j]) >= 0.999999
+    want = set(zip(i[near].tolist(), j[near].tolist()))
+    got = {(x["src"], x["dst"]) for x in found.collect()}
+    assert len(want) > 500 and len(got & want) >= 0.9 * len(want)
+
+
+def test_neighbours_over_several_blocks_with_ties(spark):
+    r = np.random.default_rng(8)
+    v = np.round(r.normal(size=(120, 3)))
+    rows = [(str(i), x) for i, x in enumerate(v.tolist())] + [("nan", [math.nan, 1.0, 0.0]), ("7", [1.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "item_id string, vector array<double>").repartition(4)
+    got = {}
+    for x in knn.knn_join(df, k=4, block_rows=9).collect():
+        got.setdefault((x["src"], x["rank"]), (x["dst"], x["sim"]))
+    for p, a in rows[:120]:
+        if p == "7":
+            continue
+        other = sorted((-round(float(np.dot(a, b)) / max(1e-12, np.linalg.norm(a) * np.linalg.norm(b)), 6) + 0.0, q) for q, b in rows if q not in (p, "nan"))
+        assert [(q, s) for q, s in (got[p, k] for k in (1, 2, 3, 4))] == [(q, pytest.approx(-s)) for s, q in other[:4]]
